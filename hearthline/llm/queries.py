@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hearthline.functions.printed import case_number, epoch_day
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
+from hearthline.llm.residue import find_residue
 from hearthline.llm.tokens import encode_ids, token_sizes
 from hearthline.session import spread, table, written
 
@@ -32,7 +33,12 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_containers(sizes, capacity=2048)
 
 
-QUERIES = {"p2_found": p2_found, "p7_ids": p7_ids, "p8_containers": p8_containers}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are template residue, filler, error pages or script notices."""
+    return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+QUERIES = {"p2_found": p2_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 
