@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.functions.printed import case_number, epoch_day
+from hearthline.llm.addresses import same_places
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
 from hearthline.llm.residue import find_residue
@@ -22,6 +23,13 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_in_time(left, right, tolerance=14).select(F.col("left_id").alias("comment_id"), F.col("right_id").alias("item_id")).distinct()
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of one place in the two address columns of items; units don't count (TESTDATA)."""
+    items = table(spark, sf_dir, "items")
+    addresses = items.select(F.explode(F.array("prj_project_address", "site_address")).alias("address"))
+    return same_places(addresses, unit_veto=False)
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return encode_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -38,7 +46,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p2_found": p2_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 
