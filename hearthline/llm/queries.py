@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.printed import case_number, epoch_day
 from hearthline.llm.addresses import same_places
+from hearthline.llm.names import link_organisations, link_persons
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
 from hearthline.llm.residue import find_residue
@@ -30,6 +31,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_places(addresses, unit_veto=False)
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of one person that meet on a project, and spellings of one organisation."""
+    comments = table(spark, sf_dir, "comments")
+    people = comments.where(F.col("is_anonymous") == 0).select(case_number(F.col("id_parent")).alias("project"), F.coalesce("name_clean", "name_raw").alias("name"))
+    persons = link_persons(people, table(spark, sf_dir, "nicknames"))
+    organisations = link_organisations(comments.select(F.col("organization").alias("name")))
+    return persons.select(F.lit("person").alias("kind"), "name_a", "name_b").unionByName(organisations.select(F.lit("organization").alias("kind"), "name_a", "name_b"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return encode_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -46,7 +56,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 
