@@ -11,6 +11,7 @@ from hearthline.llm.names import link_organisations, link_persons
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
 from hearthline.llm.residue import find_residue
+from hearthline.llm.scanned import repair_scans
 from hearthline.llm.tokens import encode_ids, token_sizes
 from hearthline.session import spread, table, written
 
@@ -40,6 +41,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return persons.select(F.lit("person").alias("kind"), "name_a", "name_b").unionByName(organisations.select(F.lit("organization").alias("kind"), "name_a", "name_b"))
 
 
+def _item_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "items").select("item_id", F.explode(F.create_map(F.lit("item_text"), F.col("item_text"), F.lit("speakers"), F.col("speakers"))).alias("field_name", "text"))
+    return spread(items.select(F.col("item_id").alias("id"), "field_name", "text"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of scanning noise per item and field."""
+    found = repair_scans(_item_texts(spark, sf_dir))
+    return found.select(F.col("id").alias("item_id"), "field_name", F.explode("noises").alias("noise")).distinct()
+
+
+def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The continuous text of every item and field."""
+    return repair_scans(_item_texts(spark, sf_dir)).select(F.col("id").alias("item_id"), "field_name", "repaired")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return encode_ids(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -56,7 +73,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 
