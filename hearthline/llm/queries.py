@@ -10,6 +10,7 @@ from hearthline.llm.addresses import same_places
 from hearthline.llm.names import link_organisations, link_persons
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
+from hearthline.llm.personal import find_mentions, known_first_names, redact_comments
 from hearthline.llm.residue import find_residue
 from hearthline.llm.scanned import repair_scans
 from hearthline.llm.tokens import encode_ids, token_sizes
@@ -25,6 +26,20 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_in_time(left, right, tolerance=14).select(F.col("left_id").alias("comment_id"), F.col("right_id").alias("item_id")).distinct()
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions of e-mail addresses, phone and identity numbers, addresses and names in comments."""
+    comments = table(spark, sf_dir, "comments")
+    known = known_first_names(comments.select(F.col("name_clean").alias("name")))
+    return find_mentions(spread(comments.select("comment_id", "comment", "text")), known)
+
+
+def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments with a typed placeholder and pseudonym for every mention."""
+    comments = table(spark, sf_dir, "comments")
+    known = known_first_names(comments.select(F.col("name_clean").alias("name")))
+    return redact_comments(spread(comments.select("comment_id", "comment", "text")), "the deployment's own secret", known)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spellings of one place in the two address columns of items; units don't count (TESTDATA)."""
     items = table(spark, sf_dir, "items")
@@ -73,7 +88,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 
