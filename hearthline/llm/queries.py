@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hearthline.functions.printed import case_number, epoch_day
 from hearthline.llm.addresses import same_places
 from hearthline.llm.names import link_organisations, link_persons
+from hearthline.llm.near_duplicates import near_duplicates
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
 from hearthline.llm.personal import find_mentions, known_first_names, redact_comments
@@ -17,6 +18,13 @@ from hearthline.llm.tokens import encode_ids, token_sizes
 from hearthline.session import spread, table, written
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of written comments whose runs of three words overlap by half or more."""
+    written_ = table(spark, sf_dir, "comments").where(F.col("channel") == "email")
+    pairs = near_duplicates(written_.select(F.col("comment_id").alias("id"), "text"))
+    return pairs.select(F.col("id_a").alias("comment_id_a"), F.col("id_b").alias("comment_id_b"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each written comment with the item of its project whose hearing is nearest within 14 days."""
     comments = table(spark, sf_dir, "comments").where(F.col("channel") == "email")
@@ -88,7 +96,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 
