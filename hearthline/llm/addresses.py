@@ -173,14 +173,14 @@ def _cost(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def same_places(addresses: DataFrame, unit_veto: bool = True) -> DataFrame:
     """(address_a, address_b): pairs of different strings of column ``address`` that denote one place."""
     parsed = addresses.select("address").where("address IS NOT NULL").distinct().mapInPandas(_parse, "address string, num string, compass string, name string, kind string, unit string, postcode string")
-    parsed = parsed.withColumn("door", F.col("unit") if unit_veto else F.lit(""))
+    parsed = written(parsed, "p4-parsed").withColumn("door", F.col("unit") if unit_veto else F.lit(""))
     known = parsed.groupBy("name").agg(F.count_distinct("num").alias("seen"))
     forms = parsed.groupBy("num", "compass", "name", "kind", "door").agg(F.count(F.lit(1)).alias("prints")).join(known, "name")
     index = forms.select("name").distinct().mapInPandas(_variants, "name string, variant string")
     at = forms.select("num", "name").distinct().join(index, "name")
     # names of one house number that share a variant; at most as many as streets that have the number and look alike
     pairs = at.alias("x").join(at.alias("y"), (F.col("x.num") == F.col("y.num")) & (F.col("x.variant") == F.col("y.variant"))).select(F.col("x.num").alias("num"), F.col("x.name").alias("name"), F.col("y.name").alias("to")).distinct()
-    pairs = pairs.mapInPandas(_cost, "num string, name string, to string, cost int")
+    pairs = written(pairs.mapInPandas(_cost, "num string, name string, to string, cost int"), "p4-pairs")
     pairs = pairs.join(known, "name").join(known.select(F.col("name").alias("to"), F.col("seen").alias("to_seen")), "to")
     own_street = (F.col("seen") >= ATTESTED) & (F.col("seen") >= RIVAL_SHARE * F.col("to_seen"))
     pairs = pairs.where((F.col("cost") == 0) | ((F.col("to_seen") >= F.col("seen")) & ~own_street))
@@ -198,6 +198,7 @@ def same_places(addresses: DataFrame, unit_veto: bool = True) -> DataFrame:
     links = links.withColumn("kinds", F.size(F.array_remove(F.collect_set("to_kind").over(same), "")))
     links = links.where((F.col("kind") != "") | (F.col("kinds") <= 1) | (F.col("to_kind") == ""))
     best = links.withColumn("n", F.row_number().over(order)).where("n = 1").select(*me, F.struct("num", "to_compass", "to", "to_kind", "to_door").alias("place"))
+    best = written(best, "p4-best")
     # a form may have resolved to one that itself resolves further: follow twice more
     for _ in range(2):
         further = best.select(F.struct(*[F.col(c).alias(n) for c, n in zip(me, ("num", "to_compass", "to", "to_kind", "to_door"))]).alias("place"), F.col("place").alias("next"))
