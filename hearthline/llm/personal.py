@@ -35,6 +35,9 @@ PHONE = re.compile(
     r"(?<![\w.\-/$#])\+?(?:1" + GAP + r"{0,2}[.\-–—]?" + GAP + r"{0,2})?(?:\(\d{3}\)|\d{3})" + GAP + r"{0,2}[.\-–—/]?" + GAP + r"{0,2}\d{3}" + GAP + r"{0,2}[.\-–—]?" + GAP + r"{0,2}\d{4}(?![\w\-–/]|\.\d)|"
     r"(?<![\w.\-–—/$#(])(?<!\d[ \xa0])\d{3}[\-.]\d{4}(?![\w\-–/]|\.\d)"
 )
+NUMBERISH = re.compile(r"[+(\d][\d ()./\-–—\t\xa0]{6,}\d")
+#: What an identity number's label contains, for a quick look before the pattern is tried.
+LABEL_HINTS = ("ssn", "soc", "licen", "passport", "tax", "itin", "tin ", "ein ", "dl ", "tin:", "dl:", "dl#")
 IDENTITY_LABEL = (
     r"(?:ssn|social" + GAP + r"+security(?:" + GAP + r"+(?:number|no\.?|card))?|soc\." + GAP + r"?sec\.?|itin|tin|ein|tax(?:payer)?" + GAP + r"*(?:id|identification)|c?dl|(?:driver['’]?s?|driving)?" + GAP + r"*licen[cs]e|passport)"
 )
@@ -50,14 +53,16 @@ STREET = r"(?:[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]+|\d{1,3}(?:st|nd|rd|th))"
 #: House number, unit letter, compass word, street, type.
 TYPED = re.compile(r"(?<![\w.\-–—/#$:,])(?<!\w[\-–]" + GAP + r")(?P<a>" + NUMBER + r"(?:" + GAP + r"+[A-DF-H](?=" + GAP + r"))?" + GAP + r"+(?:" + COMPASS + GAP + r"+)?(?P<s>" + STREET + r")" + GAP + r"+" + TYPE + r")", re.I)
 #: Street with type, then the house number.
+AFTER_HINT = re.compile(r"[ \t\xa0]\d")
+STREET_ENDS = frozenset("street str st avenue ave av boulevard blvd court ct drive dr lane ln place pl road rd terrace terr ter way wy no number".split())
 AFTER = re.compile(r"(?<![\w.\-–@#])(?P<a>(?:" + COMPASS + GAP + r"+)?(?P<s>" + STREET + r")" + GAP + r"+" + TYPE + r",?" + GAP + r"+(?:(?:no|number)\b\.?" + GAP + r"*)?\d{1,5}(?![\w/:]|[.\-–]\d))(?!" + GAP + r"+(?:square|feet|percent|cars|households|units|homes|people|years|days|times|months|weeks|buildings|blocks|pages|stories))", re.I)
 #: Where an address stands, even without a street type.
-PLACE = r"(?:\b(?:lives?|living|resid(?:e|es|ing)|located)" + GAP + r"+(?:at|on)|\b(?:about|regarding|concerns?|concerning|write" + GAP + r"+on|home" + GAP + r"+is|house" + GAP + r"+is(?:" + GAP + r"+at)?|address" + GAP + r"+is|number|address:?))"
+PLACE = r"(?:(?:lives?|living|resid(?:e|es|ing)|located)" + GAP + r"+(?:at|on)|(?:about|regarding|concerns?|concerning|write" + GAP + r"+on|home" + GAP + r"+is|house" + GAP + r"+is(?:" + GAP + r"+at)?|address" + GAP + r"+is|number|address:?))"
 BARE = re.compile(
-    PLACE + GAP + r"+(?:(?:no|number)\b\.?" + GAP + r"*(?=\d))?(?P<a>" + NUMBER + r"(?:" + GAP + r"+[A-DF-H](?=" + GAP + r"))?" + GAP + r"+(?:" + COMPASS + GAP + r"+)?(?P<s>[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]{3,}|\d{1,3}(?:st|nd|rd|th))(?![\w@]))",
+    r"(?:(?:no|number)\b\.?" + GAP + r"*(?=\d))?(?P<a>" + NUMBER + r"(?:" + GAP + r"+[A-DF-H](?=" + GAP + r"))?" + GAP + r"+(?:" + COMPASS + GAP + r"+)?(?P<s>[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]{3,}|\d{1,3}(?:st|nd|rd|th))(?![\w@]))",
     re.I,
 )
-BARE_AFTER = re.compile(PLACE + GAP + r"+(?P<a>(?:" + COMPASS + GAP + r"+)?(?P<s>[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]{3,})(?:" + GAP + r"+" + TYPE + r")?,?" + GAP + r"+(?:(?:no|number)\b\.?" + GAP + r"*)?\d{1,5}(?![\w/:%]|[.\-–]\d))", re.I)
+BARE_AFTER = re.compile(r"(?P<a>(?:" + COMPASS + GAP + r"+)?(?P<s>[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]{3,})(?:" + GAP + r"+" + TYPE + r")?,?" + GAP + r"+(?:(?:no|number)\b\.?" + GAP + r"*)?\d{1,5}(?![\w/:%]|[.\-–]\d))", re.I)
 #: The same at the start of a line or field of a signature.
 FIELD = re.compile(r"(?:(?:no|number)\b\.?" + GAP + r"*(?=\d))?(?P<a>" + NUMBER + r"(?:" + GAP + r"+[A-DF-H](?=" + GAP + r"))?" + GAP + r"+(?:" + COMPASS + GAP + r"+)?(?P<s>[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]{3,}))(?:" + GAP + r"*(?:[,#\n]|" + GAP + r"(?:unit|apt|suite|\d{4})\b|\.?$)|" + GAP + r"*$)", re.I | re.M)
 FIELD_AFTER = re.compile(r"(?P<a>(?:" + COMPASS + GAP + r"+)?(?P<s>[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'’]{3,})(?:" + GAP + r"+" + TYPE + r")?,?" + GAP + r"+(?:(?:no|number)\b\.?" + GAP + r"*)?\d{1,5})(?![\w/:%@]|[.\-–]" + GAP + r"*\d)", re.I)
@@ -70,7 +75,7 @@ ORDINARY = frozenset(
     vehicles visitors votes was we week weeks were when where which with within without workers year years your""".split()
 )
 CLOSING = re.compile(
-    r"(?:(?<=\n)|(?<=[.!?]\s)|(?<=[.!?]\s\s)|(?<=> )|^)(?:with" + GAP + r"+(?:appreciation|respect|thanks|gratitude)|(?:many" + GAP + r"+)?thanks(?:" + GAP + r"+(?:for" + GAP + r"+(?:listening|your" + GAP + r"+time)|again))?|thank" + GAP + r"+you(?:" + GAP + r"+for" + GAP + r"+\w+(?:" + GAP + r"+\w+)?)?|sincerely(?:" + GAP + r"+yours)?|"
+    r"(?:[\n>.!?][ \t]{0,2}|\A)(?:with" + GAP + r"+(?:appreciation|respect|thanks|gratitude)|(?:many" + GAP + r"+)?thanks(?:" + GAP + r"+(?:for" + GAP + r"+(?:listening|your" + GAP + r"+time)|again))?|thank" + GAP + r"+you(?:" + GAP + r"+for" + GAP + r"+\w+(?:" + GAP + r"+\w+)?)?|sincerely(?:" + GAP + r"+yours)?|"
     r"respectfully(?:" + GAP + r"+(?:yours|submitted))?|(?:best|kind|warm)(?:" + GAP + r"+(?:regards|wishes))?|regards|yours" + GAP + r"+(?:truly|sincerely|faithfully)|cordially|cheers)" + GAP + r"*,{1,2}(?:" + GAP + r"*\r?\n(?:>" + GAP + r"?|" + GAP + r")*(?:\r?\n(?:>" + GAP + r"?|" + GAP + r")*)*|" + GAP + r"+)",
     re.I,
 )
@@ -79,19 +84,16 @@ HONOR = re.compile(HONORIFIC, re.I)
 WORD = r"[A-ZÀ-Þ](?:[a-zß-ÿ'’\-]+(?:[A-ZÀ-Þ][a-zß-ÿ'’]+)*|[A-ZÀ-Þ'’\-]+)"
 FULL_NAME = r"(?:" + WORD + r"|[A-ZÀ-Þ]\.)(?:" + GAP + r"+[A-ZÀ-Þ]\.)?(?:" + GAP + r"+" + WORD + r")?"
 REVERSED = WORD + r"," + GAP + r"+(?:" + WORD + r"|[A-ZÀ-Þ]\.)(?:" + GAP + r"+[A-ZÀ-Þ]\.)?"
-INTRODUCED = re.compile(
-    r"\b(?:(?:[Ll]etter|[Nn]ote|[Mm]essage|[Ee]mail|[Ee]-mail)" + GAP + r"+from|[Aa]grees" + GAP + r"+with|[Ss]econds|[Ss]econded" + GAP + r"+by|[Ss]poke" + GAP + r"+for|[Ss]peaking" + GAP + r"+for|[Aa]sked" + GAP + r"+that|[Oo]n" + GAP + r"+behalf" + GAP + r"+of|I" + GAP + r"+am|[Mm]y" + GAP + r"+name" + GAP + r"+is|"
-    r"(?:[Tt]he|[Mm]y|[Oo]ur|[Aa])" + GAP + r"+(?:tenant|owner|neighbor|neighbour|architect|sponsor|planner|landlord|manager|applicant|attorney|engineer|friend|husband|wife|mother|father|sister|brother|son|daughter|principal|contractor|realtor|agent)s?,?|[Cc]ommissioner|[Ss]upervisor|[Pp]lanner|[Pp]resident|[Ss]ecretary|[Dd]irector)"
-    + GAP + r"+(?P<n>" + HONORIFIC.replace("(?:(?:mr", "(?:(?:[Mm]r").replace("|mrs|ms|miss|mx|dr|", "|[Mm]rs|[Mm]s|[Mm]iss|[Mm]x|[Dd]r|").replace("|commissioner|supervisor|president|", "|[Cc]ommissioner|[Ss]upervisor|[Pp]resident|").replace("|planner|", "|[Pp]lanner|")
-    + r"(?:" + REVERSED + r"(?=,|\s*$|;)|" + FULL_NAME + r"))(?![\w@])"
-)
-#: The same words before a name all in lower case; its first word must be a known first name.
-LOWER = re.compile(
-    r"\b(?:(?:letter|note|message|e-?mail)" + GAP + r"+from|agrees" + GAP + r"+with|seconds|seconded" + GAP + r"+by|spoke" + GAP + r"+for|speaking" + GAP + r"+for|asked" + GAP + r"+that|on" + GAP + r"+behalf" + GAP + r"+of|i" + GAP + r"+am|my" + GAP + r"+name" + GAP + r"+is|"
-    r"(?:the|my|our|a)" + GAP + r"+(?:tenant|owner|neighbor|neighbour|architect|sponsor|planner|landlord|manager|applicant|attorney|engineer|friend|contractor|agent)s?,?|commissioner|supervisor|planner)"
-    + GAP + r"+(?P<n>" + HONORIFIC + r"(?P<f>[a-zß-ÿ'’\-]{2,})(?:" + GAP + r"+[a-z]\.)?" + GAP + r"+[a-zß-ÿ'’\-]{3,}|(?P<l>[a-zß-ÿ'’\-]{3,})," + GAP + r"+(?P<g>[a-zß-ÿ'’\-]{2,}))(?![\w@])",
+#: Words after which a person (intro) or an address (place) is named.
+CONTEXT = re.compile(
+    r"\b(?:(?P<intro>(?:letter|note|message|e-?mail)" + GAP + r"+from|agrees" + GAP + r"+with|seconds|seconded" + GAP + r"+by|(?:spoke|speaking)" + GAP + r"+for|asked" + GAP + r"+that|on" + GAP + r"+behalf" + GAP + r"+of|i" + GAP + r"+am|my" + GAP + r"+name" + GAP + r"+is|"
+    r"(?:the|my|our|a)" + GAP + r"+(?:tenant|owner|neighbor|neighbour|architect|sponsor|planner|landlord|manager|applicant|attorney|engineer|friend|husband|wife|mother|father|sister|brother|son|daughter|principal|contractor|realtor|agent)s?,?|"
+    r"commissioner|supervisor|planner|president|secretary|director)|(?P<place>" + PLACE + r"))" + GAP + r"+",
     re.I,
 )
+NAMED = re.compile(r"(?P<n>" + REVERSED + r"(?=,|\s*$|;)|" + FULL_NAME + r")(?![\w@])")
+#: A name all in lower case; its first word must be a known first name.
+LOWER = re.compile(r"(?P<n>(?P<f>[a-zß-ÿ'’\-]{2,})(?:" + GAP + r"+[a-z]\.)?" + GAP + r"+[a-zß-ÿ'’\-]{3,}|[a-zß-ÿ'’\-]{3,}," + GAP + r"+(?P<g>[a-zß-ÿ'’\-]{2,}))(?![\w@])")
 TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Miss|Mx|Dr|MR|MRS|MS|DR)\b\.?" + GAP + r"+(?P<n>" + FULL_NAME + r")(?![\w@])")
 #: Capitalised words that are no names.
 NO_NAME = frozenset(
@@ -125,25 +127,37 @@ class Finder:
             spans.append((start, end, kind))
             return True
 
-        if "@" in text or " at " in text or "(at" in text.lower() or "[at" in text.lower() or " AT " in text or "dot" in text.lower():
+        low = text.lower()
+        if "@" in text or "(at" in low or "[at" in low or "{at" in low or " dot " in low or "(dot" in low or "[dot" in low:
             for m in EMAIL.finditer(text):
                 add(m.start(), m.end(), "email")
-        has_digit = any(c.isdigit() for c in text)
+        has_digit = any(c in text for c in "0123456789")
         if has_digit:
-            for m in IDENTITY.finditer(text):
-                g = "v" if m["v"] else "w"
-                add(m.start(g), m.end(g), "identity")
-            for m in PHONE.finditer(text):
-                if not re.search(r"(?:\bno\.?|resolution|motion|case|permit|bpa|#|\$)\s*$", text[max(0, m.start() - 12) : m.start()], re.I):
-                    add(m.start(), m.end(), "phone")
+            numbers = [(c.start(), c.end()) for c in NUMBERISH.finditer(text)]
+            if numbers or any(h in low for h in LABEL_HINTS):
+                for m in IDENTITY.finditer(text) if any(h in low for h in LABEL_HINTS) else (m for a, b in numbers for m in IDENTITY.finditer(text, a, min(len(text), b + 2))):
+                    g = "v" if m["v"] else "w"
+                    add(m.start(g), m.end(g), "identity")
+            for a, b in numbers:
+                for m in PHONE.finditer(text, a, min(len(text), b + 3)):
+                    if not re.search(r"(?:\bno\.?|resolution|motion|case|permit|bpa|#|\$)\s*$", text[max(0, m.start() - 12) : m.start()], re.I):
+                        add(m.start(), m.end(), "phone")
         fields = self.signature(text, add)
+        contexts = list(CONTEXT.finditer(text))
         if has_digit:
-            for pattern in (TYPED, AFTER, BARE, BARE_AFTER):
+            after = any((x := low[max(0, m.start() - 14) : m.start()].split()) and x[-1].strip(".,") in STREET_ENDS for m in AFTER_HINT.finditer(text))
+            for pattern in (TYPED, AFTER) if after else (TYPED,):
                 for m in pattern.finditer(text):
-                    s = m["s"].lower()
-                    if s in ORDINARY:
+                    if m["s"].lower() not in ORDINARY:
+                        add(m.start("a"), m.end("a"), "address")
+            for c in contexts:
+                if not c["place"]:
+                    continue
+                for pattern in (BARE, BARE_AFTER):
+                    m = pattern.match(text, c.end())
+                    if not m or (s := m["s"].lower()) in ORDINARY:
                         continue
-                    if pattern is BARE_AFTER and not m["s"][0].isupper() and not re.search(TYPE, m["a"], re.I) and "," not in m["a"] and m[0].lower().startswith(("about", "number", "concern")) and len(s) < 6:
+                    if pattern is BARE_AFTER and not m["s"][0].isupper() and "," not in m["a"] and len(s) < 6 and c[0].lower().startswith(("about", "number", "concern")) and not re.search(TYPE, m["a"], re.I):
                         continue
                     add(m.start("a"), m.end("a"), "address")
             for start, end in fields:
@@ -151,17 +165,21 @@ class Finder:
                     m = pattern.match(text, start, end)
                     if m and m["s"].lower() not in ORDINARY and not re.match(r"(?:call|tel|phone|cell|ph|fax|ext|page|case|unit|apt|suite|room|port|email|write|mobile|home|work)\b", m["s"], re.I):
                         add(m.start("a"), m.end("a"), "address")
-        for m in INTRODUCED.finditer(text):
-            start = m.start("n") + HONOR.match(m["n"]).end()
-            name, end = text[start : m.end("n")], m.end("n")
-            if " " not in name and "," not in name and (more := re.match(r"," + GAP + r"+([^\W\d_'’\-]+)(?:" + GAP + r"+[A-Z]\.)?(?![\w@])", text[end : end + 40])) and more[1].lower() in self.first_names:
-                end += more.end()  # last name first
-            if name and not _no_name(name) and not self._organisation(text, end):
-                add(start, end, "name")
-        if self.first_names:
-            for m in LOWER.finditer(text):
-                if (m["f"] or m["g"]).lower() in self.first_names and m["n"].islower() and not _no_name(m["n"]):
-                    add(m.start("n") + HONOR.match(m["n"]).end(), m.end("n"), "name")
+        for c in contexts:
+            if not c["intro"]:
+                continue
+            start = HONOR.match(text, c.end()).end()
+            m = NAMED.match(text, start)
+            if m:
+                name, end = m["n"], m.end("n")
+                if " " not in name and "," not in name and (more := re.match(r"," + GAP + r"+([^\W\d_'’\-]+)(?:" + GAP + r"+[A-Z]\.)?(?![\w@])", text[end : end + 40])) and more[1].lower() in self.first_names:
+                    end += more.end()  # last name first
+                if c[0].isupper() and len(c[0]) > 5 and start == c.end() and not name.endswith(".") and name.split()[0].lower() not in self.first_names and "," not in name:
+                    continue  # in a text in capitals only a known first name is told from a word
+                if not _no_name(name) and not self._organisation(text, end):
+                    add(start, end, "name")
+            elif self.first_names and (m := LOWER.match(text, start)) and (m["f"] or m["g"]) in self.first_names and not _no_name(m["n"]):
+                add(start, m.end("n"), "name")
         for m in TITLED.finditer(text):
             if not _no_name(m["n"]):
                 add(m.start("n"), m.end("n"), "name")
@@ -177,7 +195,7 @@ class Finder:
         fields: list[tuple[int, int]] = []
         for m in CLOSING.finditer(text):
             at = m.end()
-            inline = "\n" not in text[m.start() : m.end()]
+            inline = "\n" not in text[m.start() + 1 : m.end()]
             stop = text.find("\n\n", at)
             stop = len(text) if stop < 0 else stop
             block = text[at:stop]
