@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "phone", "identity", "address", "name")
+PLACEHOLDERS = frozenset((*KINDS, "date"))
 
 GAP = r"[ \t\xa0]"
 EMAIL = re.compile(
@@ -122,6 +123,8 @@ class Finder:
         def add(start: int, end: int, kind: str) -> bool:
             while start < end and not text[start].isalnum():
                 start += 1
+            if (at := text.rfind("[", max(0, start - 10), start)) >= 0 and text[at + 1 : start].strip() in PLACEHOLDERS:
+                return False  # a placeholder of ours
             if start >= end or any(s < end and start < e for s, e, _ in spans):
                 return False
             spans.append((start, end, kind))

@@ -212,7 +212,7 @@ def find_residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     reps = seen.where("print IS NOT NULL").groupBy("print").agg(F.min_by("label", F.when(F.col("pure"), F.col("label"))).alias("label"), F.max("label").alias("any_label"), F.min("simhash").alias("simhash"), F.min("doc_id").alias("doc_id"))
     frontier = reps.where("label IS NOT NULL").select("print", "label", "simhash", "doc_id")
     open_reps = reps.where("any_label IS NULL").select("print", "simhash", "doc_id")
-    spread_labels: DataFrame | None = None
+    spread_labels = frontier.select("print", "label")  # copies of a representative have its label
     for _ in range(max_rounds):
         candidates = (
             _tables(frontier.select("label", F.col("simhash"), F.col("doc_id").alias("from")))
@@ -227,10 +227,9 @@ def find_residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
         found = written(found, "p9-round")
         if found.isEmpty():
             break
-        spread_labels = found if spread_labels is None else spread_labels.unionByName(found)
+        spread_labels = spread_labels.unionByName(found)
         frontier = written(found.join(open_reps, "print").select("print", "label", "simhash", "doc_id"), "p9-frontier")
         open_reps = open_reps.join(found, "print", "left_anti")
-    if spread_labels is not None:
-        own = own.unionByName(seen.join(spread_labels.select("print", F.col("label").alias("got")), "print").where("label IS NULL").select("doc_id", F.col("got").alias("label")))
+    own = own.unionByName(seen.join(spread_labels.select("print", F.col("label").alias("got")), "print").where("label IS NULL").select("doc_id", F.col("got").alias("label")))
     rank = F.array_position(F.array(*[F.lit(x) for x in ("error_page", "script_notice", "filler", "placeholder")]), F.col("label"))
     return own.groupBy("doc_id").agg(F.min_by("label", rank).alias("residue"))
