@@ -92,6 +92,9 @@ SCRIPT_REST = re.compile(
     re.I,
 )
 WORD = re.compile(r"[^\W_]+")
+#: A quick look before the patterns are tried: without any of these they can't match.
+ERROR_HINTS = ("http", "not found", "gateway", "forbidden", "unavailable", "server error", "error", "unauthorized", "bad request", "gone", "database", "viewstate", "session", "went wrong", "access denied", "access is denied", "permission denied", "time", "too many", "could not be", "cannot be", "encontrada", "exception")
+SCRIPT_HINTS = ("script", "browser", "cookies")
 #: Words that may be left of an error page or script notice when all known wording is taken out.
 REST_WORDS, REST_SHARE = 8, 0.34
 
@@ -120,15 +123,14 @@ def label_of(text: str | None) -> tuple[str | None, bool]:
     """(residue or None, whether the whole document is residue) of one text, by the trusted rules."""
     if not text or not text.strip():
         return None, False
-    total = None
+    low = text.lower()
     if len(text) <= 1500:
-        for label, cue, rest in (("error_page", ERROR, ERROR_REST), ("script_notice", SCRIPT, SCRIPT_REST)):
-            if cue.search(text):
-                total = total or len(WORD.findall(text))
+        for label, cue, rest, hints in (("error_page", ERROR, ERROR_REST, ERROR_HINTS), ("script_notice", SCRIPT, SCRIPT_REST, SCRIPT_HINTS)):
+            if any(h in low for h in hints) and cue.search(text):
+                total = len(WORD.findall(text))
                 left = len(WORD.findall(rest.sub(" ", cue.sub(" ", text))))
                 if left <= min(REST_WORDS, max(4, REST_SHARE * total)):
                     return label, True
-    low = text.lower()
     if _filler(low):
         words = WORD.findall(low)
         return "filler", sum(w in FILLER_WORDS for w in words) >= 0.6 * len(words)
@@ -145,22 +147,33 @@ def shingles(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
 
 
-_word_hashes: dict[str, int] = {}
+class _Words(dict):
+    """What lies between blanks -> hashes of its normalised words; forgotten at a bound."""
+
+    def __missing__(self, run: str) -> tuple[int, ...]:
+        out = tuple(int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) for w in normal_words(run))
+        if len(run) <= 64:
+            self[run] = out
+        return out
+
+
+_known = _Words()
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the normalised words of a text, in order."""
+    if len(_known) > 300_000:
+        _known.clear()
+    codes: list[int] = []
+    for run in (text or "").split():
+        codes += _known[run]
+    return np.array(codes, dtype=np.int64).view(np.uint64)
 
 
-def simhash(words: list[str]) -> int:
-    """64-bit SimHash of the shingles, as a signed number. Word hashes are remembered per worker, up to a bound."""
-    if not words:
+def simhash(h: np.ndarray) -> int:
+    """64-bit SimHash of the shingles of word hashes, as a signed number."""
+    if not len(h):
         return 0
-    if len(_word_hashes) > 500_000:
-        _word_hashes.clear()
-    codes = []
-    for w in words:
-        h = _word_hashes.get(w)
-        if h is None:
-            h = _word_hashes[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "big")
-        codes.append(h)
-    h = np.array(codes, dtype=np.uint64)
     n = max(1, len(h) - SHINGLE + 1)
     mixed = np.zeros(n, dtype=np.uint64)
     for k in range(min(SHINGLE, len(h))):
@@ -177,10 +190,10 @@ def _examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, pure, prints, hashes = [], [], [], []
         for text in batch.column(1).to_pylist():
             label, whole = label_of(text)
-            words = normal_words(text) if text else []
+            words = word_hashes(text)
             labels.append(label)
             pure.append(whole)
-            prints.append(hashlib.blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).hexdigest() if words else None)
+            prints.append(hashlib.blake2b(words.tobytes(), digest_size=16).hexdigest() if len(words) else None)
             hashes.append(simhash(words))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(labels, pa.string()), pa.array(pure, pa.bool_()), pa.array(prints, pa.string()), pa.array(hashes, pa.int64())], ["doc_id", "label", "pure", "print", "simhash"]
