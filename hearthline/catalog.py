@@ -33,19 +33,28 @@ def query(sql: str | None = None):
     return note
 
 
-def once(df: DataFrame) -> DataFrame:
-    """Rows delivered twice count once."""
-    return df.drop("loaded_at").distinct()
+def once(df: DataFrame, *columns: str) -> DataFrame:
+    """These columns, the id first, of rows that may have been delivered twice. Only what is named is read and moved."""
+    return df.select(*columns).distinct()
 
 
-def comments(spark: SparkSession, d: str) -> DataFrame:
-    c = once(table(spark, d, "comments"))
-    return c.withColumn("project", case_number(F.col("id_parent"))).withColumn("day", printed_date(F.col("meeting_date"))).withColumn("year", F.year("day"))
+def _dated(df: DataFrame, id_: str, columns: tuple[str, ...]) -> DataFrame:
+    derived = {"project": "id_parent", "day": "meeting_date", "year": "meeting_date"}
+    out = once(df, *dict.fromkeys([id_, *(derived.get(c, c) for c in columns)]))
+    if "project" in columns:
+        out = out.withColumn("project", case_number(F.col("id_parent")))
+    if "day" in columns or "year" in columns:
+        out = out.withColumn("day", printed_date(F.col("meeting_date")))
+    return out.withColumn("year", F.year("day")) if "year" in columns else out
 
 
-def items(spark: SparkSession, d: str) -> DataFrame:
-    c = once(table(spark, d, "items"))
-    return c.withColumn("project", case_number(F.col("id_parent"))).withColumn("day", printed_date(F.col("meeting_date"))).withColumn("year", F.year("day"))
+def comments(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Comments once, with their id and these columns; "project", "day" and "year" are read from print."""
+    return _dated(table(spark, d, "comments"), "comment_id", columns)
+
+
+def items(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return _dated(table(spark, d, "items"), "item_id", columns)
 
 
 C = f"(SELECT *, {O.case_number('id_parent')} AS project, {O.printed_date('meeting_date')} AS day, year({O.printed_date('meeting_date')})::INT AS year FROM {O.COMMENTS})"
@@ -61,7 +70,7 @@ I = f"(SELECT *, {O.case_number('id_parent')} AS project, {O.printed_date('meeti
 )
 def share_by_year(spark, d):
     """Flagship: share of hearing days per year with any opposing and any supporting comment."""
-    c = comments(spark, d).select("day", "year", F.coalesce(F.col("position") == "oppose", F.lit(False)).alias("opposed"), F.coalesce(F.col("position") == "support", F.lit(False)).alias("supported"))
+    c = comments(spark, d, "day", "year", "position").select("day", "year", F.coalesce(F.col("position") == "oppose", F.lit(False)).alias("opposed"), F.coalesce(F.col("position") == "support", F.lit(False)).alias("supported"))
     out = A.share_by_year(c, "day", "year", ["opposed", "supported"])
     return out.select("year", "n", F.round("share_opposed", 9).alias("share_opposed"), F.round("share_supported", 9).alias("share_supported"))
 
@@ -73,19 +82,19 @@ def share_by_year(spark, d):
 )
 def share_by_hearing(spark, d):
     """The same over hearings of housing items: semi-join, then two levels."""
-    housing = items(spark, d).where((flag(F.col("item_text"), "dwelling|housing|residential") == 1) & F.col("section").rlike("(?i)REGULAR|DISCRETIONARY")).select("item_id").distinct()
-    c = comments(spark, d).join(housing, "item_id", "left_semi").withColumn("supported", F.coalesce(F.col("position") == "support", F.lit(False)))
+    housing = items(spark, d, "item_text", "section").where((flag(F.col("item_text"), "dwelling|housing|residential") == 1) & F.col("section").rlike("(?i)REGULAR|DISCRETIONARY")).select("item_id").distinct()
+    c = comments(spark, d, "item_id", "year", "position").join(housing, "item_id", "left_semi").withColumn("supported", F.coalesce(F.col("position") == "support", F.lit(False)))
     return A.share_by_year(c, "item_id", "year", ["supported"]).select("year", "n", F.round("share_supported", 9).alias("share_supported"))
 
 
 @query(f"SELECT year, count(*) FILTER (position = 'support')::BIGINT AS n_support, count(*) FILTER (position = 'oppose')::BIGINT AS n_oppose, count(*) FILTER (position = 'neutral')::BIGINT AS n_neutral FROM {C} WHERE year IS NOT NULL GROUP BY year")
 def year_pivot(spark, d):
-    return A.cross_tab(comments(spark, d), "year", "position", ["support", "oppose", "neutral"])
+    return A.cross_tab(comments(spark, d, "year", "position"), "year", "position", ["support", "oppose", "neutral"])
 
 
 @query(f"SELECT year, round(count(*) FILTER (position = 'oppose') / count(*), 9) AS share FROM {C} WHERE year IS NOT NULL AND position IN ('support', 'oppose') GROUP BY year HAVING count(*) >= 10")
 def opposition_share(spark, d):
-    c = comments(spark, d).where("year IS NOT NULL AND position IN ('support', 'oppose')")
+    c = comments(spark, d, "year", "position").where("year IS NOT NULL AND position IN ('support', 'oppose')")
     return c.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("position") == "oppose").alias("o")).where("n >= 10").select("year", F.round(F.col("o") / F.col("n"), 9).alias("share"))
 
 
@@ -95,7 +104,7 @@ def opposition_share(spark, d):
 )
 def group_share(spark, d):
     """Kinds of organisations per year and their share, by a rule table."""
-    k = comments(spark, d).where("year IS NOT NULL").select("year", roles.classify(F.col("organization")).alias("kind")).where("kind IS NOT NULL").groupBy("year", "kind").agg(F.count(F.lit(1)).alias("n"))
+    k = comments(spark, d, "year", "organization").where("year IS NOT NULL").select("year", roles.classify(F.col("organization")).alias("kind")).where("kind IS NOT NULL").groupBy("year", "kind").agg(F.count(F.lit(1)).alias("n"))
     total = k.groupBy("year").agg(F.sum("n").alias("t"))
     return k.join(total, "year").select("year", "kind", "n", F.round(F.col("n") / F.col("t"), 9).alias("share"))
 
@@ -105,7 +114,7 @@ def group_share(spark, d):
         SELECT year, n, round(avg(n) OVER (ORDER BY year ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 6) AS smooth FROM y"""
 )
 def rolling_mean(spark, d):
-    y = comments(spark, d).where("year IS NOT NULL").groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    y = comments(spark, d, "year").where("year IS NOT NULL").groupBy("year").agg(F.count(F.lit(1)).alias("n"))
     return A.rolling_mean(y, "year", "n", "smooth").withColumn("smooth", F.round("smooth", 6))
 
 
@@ -115,7 +124,7 @@ def rolling_mean(spark, d):
 )
 def binned_counts(spark, d):
     """Items by their number of comments, those without any included."""
-    per = once(table(spark, d, "comments")).where("item_id IS NOT NULL").groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    per = comments(spark, d, "item_id").where("item_id IS NOT NULL").groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     ids = table(spark, d, "items").select("item_id").distinct().join(per, "item_id", "left").select(F.coalesce("n", F.lit(0)).alias("n"))
     return ids.groupBy(A.binned(F.col("n"), [0, 1, 5, 20]).alias("bin")).agg(F.count(F.lit(1)).alias("n_items"))
 
@@ -125,13 +134,13 @@ def binned_counts(spark, d):
                count(DISTINCT project)::BIGINT AS projects, count(DISTINCT name_clean)::BIGINT AS names FROM {C}"""
 )
 def coverage_summary(spark, d):
-    c = comments(spark, d)
+    c = comments(spark, d, "project", "name_clean", "sign", "channel")
     return A.coverage(c, {"n_named": F.col("name_clean").isNotNull(), "n_signed": F.col("sign").isNotNull(), "n_written": F.col("channel") == "email"}, {"projects": "project", "names": "name_clean"})
 
 
 @query(f"SELECT year, count(*)::BIGINT AS n, round(avg((prj_record_id IS NOT NULL)::INT), 9) AS matched FROM {I} WHERE year IS NOT NULL AND project IS NOT NULL GROUP BY year")
 def match_rate(spark, d):
-    i = items(spark, d).where("year IS NOT NULL AND project IS NOT NULL")
+    i = items(spark, d, "year", "project", "prj_record_id").where("year IS NOT NULL AND project IS NOT NULL")
     return i.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("prj_record_id").isNotNull().cast("int")), 9).alias("matched"))
 
 
@@ -149,7 +158,7 @@ def centroids(spark, d):
 )
 def meta_last(spark, d):
     """Per project the last title and address that are known, each by its own last row."""
-    i = items(spark, d).where("project IS NOT NULL AND day IS NOT NULL").withColumn("o", F.struct("day", "item_id"))
+    i = items(spark, d, "project", "day", "prj_project_name", "site_address").where("project IS NOT NULL AND day IS NOT NULL").withColumn("o", F.struct("day", "item_id"))
     return i.groupBy("project").agg(relational.last_non_null("prj_project_name", "o").alias("title"), relational.last_non_null("site_address", "o").alias("address"), F.max("day").alias("last_day"), F.count_distinct("item_id").alias("n_items"))
 
 
@@ -157,7 +166,7 @@ def meta_last(spark, d):
     f"""SELECT name_clean AS name, count(*)::BIGINT AS n_all, count(*) FILTER (channel = 'spoken')::BIGINT AS n_spoken, count(DISTINCT project)::BIGINT AS n_projects, min(year) AS first_year, max(year) AS last_year FROM {C} WHERE name_clean IS NOT NULL GROUP BY 1"""
 )
 def person_stats(spark, d):
-    c = comments(spark, d).where("name_clean IS NOT NULL")
+    c = comments(spark, d, "project", "year", "name_clean", "channel").where("name_clean IS NOT NULL")
     return c.groupBy(F.col("name_clean").alias("name")).agg(F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("channel") == "spoken").alias("n_spoken"), F.count_distinct("project").alias("n_projects"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
 
 
@@ -166,7 +175,7 @@ def person_stats(spark, d):
         LEFT JOIN (SELECT {O.case_number('record_id')} AS project, count(*)::BIGINT AS n FROM projects GROUP BY 1) p ON p.project = c.project WHERE c.project IS NOT NULL GROUP BY c.project"""
 )
 def project_stats(spark, d):
-    c = comments(spark, d).where("project IS NOT NULL").groupBy("project").agg(F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("channel") == "email").alias("n_written"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    c = comments(spark, d, "project", "year", "channel").where("project IS NOT NULL").groupBy("project").agg(F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("channel") == "email").alias("n_written"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
     p = table(spark, d, "projects").groupBy(case_number(F.col("record_id")).alias("project")).agg(F.count(F.lit(1)).alias("n_records"))
     return c.join(p, "project", "left")
 
@@ -176,24 +185,25 @@ def project_stats(spark, d):
                round(100 * count(*) FILTER (position = 'support') / nullif(count(*) FILTER (position IN ('support', 'oppose')), 0), 6) AS percent FROM {C} WHERE day IS NOT NULL GROUP BY day"""
 )
 def support_by_day(spark, d):
-    c = comments(spark, d).where("day IS NOT NULL").groupBy("day").agg(F.count_if(F.col("position") == "support").alias("n_support"), F.count_if(F.col("position") == "oppose").alias("n_oppose"))
+    c = comments(spark, d, "day", "position").where("day IS NOT NULL").groupBy("day").agg(F.count_if(F.col("position") == "support").alias("n_support"), F.count_if(F.col("position") == "oppose").alias("n_oppose"))
     return c.withColumn("percent", F.round(100 * F.col("n_support") / F.nullif(F.col("n_support") + F.col("n_oppose"), F.lit(0)), 6))
 
 
 @query(f"SELECT method AS value, count(*)::BIGINT AS n FROM {O.COMMENTS} GROUP BY 1")
 def method_distribution(spark, d):
-    return once(table(spark, d, "comments")).groupBy(F.col("method").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return comments(spark, d, "method").groupBy(F.col("method").alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"SELECT least((SELECT min(day) FROM {C}), (SELECT min(day) FROM {I})) AS first_day, greatest((SELECT max(day) FROM {C}), (SELECT max(day) FROM {I})) AS last_day")
 def timeline_domain(spark, d):
     """First and last day over both tables, nulls skipped."""
-    return comments(spark, d).select("day").unionByName(items(spark, d).select("day")).agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    day = lambda t: table(spark, d, t).select(printed_date(F.col("meeting_date")).alias("day"))
+    return day("comments").unionByName(day("items")).agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
 @query(f"SELECT project, day, arg_min(action, item_id) FILTER (action IS NOT NULL) AS action FROM {I} WHERE project IS NOT NULL AND day IS NOT NULL GROUP BY project, day")
 def hearing_track(spark, d):
-    i = items(spark, d).where("project IS NOT NULL AND day IS NOT NULL")
+    i = items(spark, d, "project", "day", "action").where("project IS NOT NULL AND day IS NOT NULL")
     return i.groupBy("project", "day").agg(relational.first_non_null("action", "item_id").alias("action"))
 
 
@@ -217,7 +227,7 @@ STATED = f"(SELECT lower(name_clean) AS name, {O.cascade(chr(110) + 'ullif(trim(
 )
 def derived_roster(spark, d):
     """Standing affiliation of each speaker from what they stated, with agreement and a window of years."""
-    c = comments(spark, d).select(F.lower("name_clean").alias("name"), roles.classify(F.col("organization")).alias("role"), "year")
+    c = comments(spark, d, "year", "name_clean", "organization").select(F.lower("name_clean").alias("name"), roles.classify(F.col("organization")).alias("role"), "year")
     return roles.derived_roster(c)
 
 
@@ -230,7 +240,7 @@ def derived_roster(spark, d):
 )
 def affiliation_fill(spark, d):
     """Affiliations carried to comments that don't state one."""
-    c = written(comments(spark, d).select("comment_id", F.lower("name_clean").alias("name"), roles.classify(F.col("organization")).alias("role"), "year"), "fill")
+    c = written(comments(spark, d, "year", "name_clean", "organization").select("comment_id", F.lower("name_clean").alias("name"), roles.classify(F.col("organization")).alias("role"), "year"), "fill")
     return roles.carry_over(c, roles.derived_roster(c)).select("comment_id", "role_filled", "filled_from")
 
 
@@ -243,8 +253,8 @@ def affiliation_fill(spark, d):
 )
 def asof_next_hearing(spark, d):
     """Each written comment with its project's first hearing on or after the packet date; a hot project is split into blocks of two years."""
-    left = comments(spark, d).where("channel = 'email'").select("comment_id", "project", "day").distinct()
-    right = items(spark, d).select("item_id", "project", F.col("day").alias("heard"))
+    left = comments(spark, d, "project", "day", "channel").where("channel = 'email'").select("comment_id", "project", "day")
+    right = items(spark, d, "project", "day").select("item_id", "project", F.col("day").alias("heard"))
     out = relational.asof_forward(left, right, "project", "day", "heard", "item_id", block=730)
     lag = F.datediff("heard", "day")
     return out.select("comment_id", "item_id", "heard", lag.alias("lag_days"), (lag == 0).cast("int").alias("same_day"))
@@ -266,7 +276,7 @@ def asof_next_purchase(spark, d):
 )
 def tenure_interval(spark, d):
     """Comments by someone on the staff within a year of their tenure."""
-    c = comments(spark, d).select("comment_id", F.lower("name_clean").alias("n"), "day").distinct()
+    c = comments(spark, d, "name_clean", "day").select("comment_id", F.lower("name_clean").alias("n"), "day")
     t = table(spark, d, "staff_tenure").select(F.lower("name").alias("n"), F.date_sub("first_seen", 365).alias("lo"), F.date_add("last_seen", 365).alias("hi"))
     return relational.within_interval(c, t, "n", "day", "lo", "hi", "is_staff", "comment_id").groupBy("comment_id").agg(F.max("is_staff").alias("is_staff"))
 
@@ -288,7 +298,7 @@ def nearest_within_tolerance(spark, d):
 def fallback_chain(spark, d):
     """The block of an item's project: by record number, else by address; says which."""
     p = table(spark, d, "projects").where("block IS NOT NULL")
-    i = items(spark, d).select("item_id", "project", F.upper(F.trim("site_address")).alias("site"))
+    i = items(spark, d, "project", "site_address").select("item_id", "project", F.upper(F.trim("site_address")).alias("site"))
     by_record = p.select(case_number(F.col("record_id")).alias("k"), "block")
     by_address = p.select(F.upper(F.trim("project_address")).alias("k"), "block")
     return relational.fallback(i, [("record", by_record, "project"), ("address", by_address, "site")], "block").select("item_id", "block", "block_source").distinct()
@@ -304,7 +314,7 @@ REF = "nullif(lower(regexp_extract(speakers, '(?i)^\\s*same as item\\s+([0-9]{1,
 )
 def same_as_copy(spark, d):
     """Items whose speakers are "same as item n" with the items they point to; unresolved ones stay, tagged."""
-    i = items(spark, d).where("file IS NOT NULL").select("item_id", "file", F.lower("item_num").alias("num"), F.nullif(F.lower(F.regexp_extract("speakers", r"(?i)^\s*same as item\s+([0-9]{1,2}[a-z]?)", 1)), F.lit("")).alias("ref")).distinct()
+    i = items(spark, d, "file", "item_num", "speakers").where("file IS NOT NULL").select("item_id", "file", F.lower("item_num").alias("num"), F.nullif(F.lower(F.regexp_extract("speakers", r"(?i)^\s*same as item\s+([0-9]{1,2}[a-z]?)", 1)), F.lit("")).alias("ref")).distinct()
     refs = i.where("ref IS NOT NULL").select(F.col("item_id").alias("ref_id"), "file", F.col("ref").alias("num"))
     return relational.copy_referenced(i.where("ref IS NULL").select("file", "num", F.col("item_id").alias("target")), refs, ["file", "num"], "same_as_unresolved").select("ref_id", "file", "num", "target", "resolution")
 
@@ -346,14 +356,14 @@ def staff_panel(spark, d):
         SELECT file, m.day, coalesce(n, 0)::BIGINT AS n_comments FROM m LEFT JOIN n ON n.day = m.day"""
 )
 def meetings_with_counts(spark, d):
-    n = comments(spark, d).where("day IS NOT NULL").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    n = comments(spark, d, "day").where("day IS NOT NULL").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
     m = table(spark, d, "meetings").select("file", printed_date(F.col("meeting_date")).alias("day")).distinct()
     return m.join(n, "day", "left").select("file", "day", F.coalesce("n", F.lit(0)).alias("n_comments"))
 
 
 @query(f"SELECT file, meeting_type, any_value(meeting_date) AS meeting_date, count(*)::BIGINT AS n_items, count(speakers)::BIGINT AS n_with_speakers FROM (SELECT file, meeting_type, speakers, max(meeting_date) OVER (PARTITION BY file, meeting_type) AS meeting_date FROM {O.ITEMS}) GROUP BY file, meeting_type")
 def meetings_rollup(spark, d):
-    return once(table(spark, d, "items")).groupBy("file", "meeting_type").agg(F.max("meeting_date").alias("meeting_date"), F.count(F.lit(1)).alias("n_items"), F.count("speakers").alias("n_with_speakers"))
+    return items(spark, d, "file", "meeting_type", "meeting_date", "speakers").groupBy("file", "meeting_type").agg(F.max("meeting_date").alias("meeting_date"), F.count(F.lit(1)).alias("n_items"), F.count("speakers").alias("n_with_speakers"))
 
 
 @query("SELECT project FROM (SELECT " + O.case_number("id_parent") + " AS project FROM items INTERSECT SELECT " + O.case_number("record_id") + " FROM projects) WHERE project IS NOT NULL AND project NOT IN (SELECT " + O.case_number("id_parent") + " FROM comments WHERE channel = 'email' AND id_parent IS NOT NULL)")
@@ -373,7 +383,7 @@ def silent_projects(spark, d):
 )
 def fanout_dedup(spark, d):
     """Spoken testimony once, though it was attached to several sub-items."""
-    return spoken_table(table(spark, d, "comments")).select("comment_id")
+    return spoken_table(table(spark, d, "comments"), "comment_id").select("comment_id")
 
 
 @query(
@@ -382,7 +392,7 @@ def fanout_dedup(spark, d):
         SELECT min(comment_id) AS comment_id FROM m GROUP BY sender_id, id_parent, meeting_date, text"""
 )
 def message_dedup(spark, d):
-    return written_table(table(spark, d, "comments")).select("comment_id")
+    return written_table(table(spark, d, "comments"), "comment_id").select("comment_id")
 
 
 @query(
@@ -394,13 +404,13 @@ def message_dedup(spark, d):
 )
 def campaign_split(spark, d):
     """Campaigns; one that both sides use is split by position."""
-    return written_table(table(spark, d, "comments")).select("comment_id", "campaign_key")
+    return written_table(table(spark, d, "comments"), "comment_id").select("comment_id", "campaign_key")
 
 
 @query(f"SELECT DISTINCT comment_id, 'e' || substr(sha1(coalesce(sender_id, '') || '|' || coalesce(meeting_date, '') || '|' || coalesce(text, '')), 1, 12) AS message_id FROM {O.COMMENTS} WHERE channel = 'email'")
 def message_ids(spark, d):
-    c = once(table(spark, d, "comments")).where("channel = 'email'")
-    return c.select("comment_id", R.message_id(F.col("sender_id"), F.col("meeting_date"), F.col("text")).alias("message_id")).distinct()
+    c = comments(spark, d, "channel", "sender_id", "meeting_date", "text").where("channel = 'email'")
+    return c.select("comment_id", R.message_id(F.col("sender_id"), F.col("meeting_date"), F.col("text")).alias("message_id"))
 
 
 @query(
@@ -408,7 +418,7 @@ def message_ids(spark, d):
 )
 def unify_channels(spark, d):
     """Comments and documents as one table over the union of their columns."""
-    a = once(table(spark, d, "comments")).select(F.concat(F.lit("c"), "comment_id").alias("id"), "channel", "text")
+    a = comments(spark, d, "channel", "text").select(F.concat(F.lit("c"), "comment_id").alias("id"), "channel", "text")
     b = table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text", "source")
     return relational.union_aligned(a, b, lead=("id", "channel"))
 
@@ -417,7 +427,7 @@ def unify_channels(spark, d):
 def positions(spark, d):
     from hearthline.functions.rules import lookup
 
-    c = once(table(spark, d, "comments")).where("channel = 'spoken'")
+    c = comments(spark, d, "channel", "sign", "position").where("channel = 'spoken'")
     return c.select("comment_id", F.coalesce(lookup(F.col("sign"), POSITION), "position").alias("position")).distinct()
 
 
@@ -536,18 +546,18 @@ def agenda_round_trip(spark, d):
 @query()
 def speaker_lists(spark, d):
     """Every speakers block of every item as rows."""
-    return speakers.speaker_rows(spread(once(table(spark, d, "items").select("item_id", "speakers", "loaded_at"))))
+    return speakers.speaker_rows(spread(items(spark, d, "speakers")))
 
 
 @query()
 def name_cleanup(spark, d):
-    c = once(table(spark, d, "comments")).where("channel = 'spoken'").select("comment_id", "name_raw", "comment", "sign")
+    c = comments(spark, d, "channel", "name_raw", "comment", "sign").where("channel = 'spoken'").drop("channel")
     return names.clean_names(c)
 
 
 @query()
 def role_labels(spark, d):
-    c = once(table(spark, d, "comments")).select("comment_id", "name_clean", "role_title", "is_anonymous")
+    c = comments(spark, d, "name_clean", "role_title", "is_anonymous")
     return roles.demote_role_labels(c)
 
 
@@ -557,7 +567,7 @@ def role_labels(spark, d):
 @query(f"SELECT project, n FROM (SELECT project, count(*)::BIGINT AS n FROM {C} WHERE project IS NOT NULL GROUP BY 1) ORDER BY n DESC, project LIMIT 300")
 def top_projects(spark, d):
     """Report: the 300 projects with most comments."""
-    return comments(spark, d).where("project IS NOT NULL").groupBy("project").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "project").limit(300)
+    return comments(spark, d, "project").where("project IS NOT NULL").groupBy("project").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "project").limit(300)
 
 
 @query(
@@ -565,7 +575,7 @@ def top_projects(spark, d):
 )
 def campaign_examples(spark, d):
     """Report: six messages per campaign, those with text first."""
-    c = comments(spark, d).where("campaign IS NOT NULL").select("campaign", "comment_id", F.col("text").isNull().alias("empty"), "day")
+    c = table(spark, d, "comments").where("campaign IS NOT NULL").select("campaign", "comment_id", F.col("text").isNull().alias("empty"), printed_date(F.col("meeting_date")).alias("day")).distinct()
     return A.top_k(c, ["campaign"], [F.asc("empty"), F.desc_nulls_last("day"), F.asc("comment_id")], 6).select("campaign", "comment_id", "rank")
 
 
@@ -600,14 +610,14 @@ KEYED = "trim(regexp_replace(regexp_replace(lower(regexp_replace(trim(name_clean
 )
 def fuzzy_pairs(spark, d):
     """Spellings up to two edits apart inside a block."""
-    n = once(table(spark, d, "comments")).where("name_clean IS NOT NULL").groupBy(identity.name_key(F.col("name_clean")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    n = comments(spark, d, "name_clean").where("name_clean IS NOT NULL").groupBy(identity.name_key(F.col("name_clean")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
     return names.fuzzy_pairs(n).select("canonical", "variant", "n_canonical", "n_variant", "dist")
 
 
 @query()
 def fuzzy_merges(spark, d):
     """What is merged automatically, chains resolved, and what is left for review."""
-    n = once(table(spark, d, "comments")).where("name_clean IS NOT NULL").groupBy(F.col("name_clean").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    n = comments(spark, d, "name_clean").where("name_clean IS NOT NULL").groupBy(F.col("name_clean").alias("name")).agg(F.count(F.lit(1)).alias("n"))
     judged = written(names.judged(names.fuzzy_pairs(n)), "fuzzy")
     applied = names.merge_map(judged).withColumn("status", F.lit("applied"))
     return applied.unionByName(judged.where("verdict = 'review'").select("variant", "canonical").withColumn("status", F.lit("candidate")))
@@ -615,14 +625,14 @@ def fuzzy_merges(spark, d):
 
 @query()
 def commenter_components(spark, d):
-    c = comments(spark, d).withColumn("name", identity.name_key(F.col("name_clean"))).where("name <> ''").select("name", "project", "year")
+    c = comments(spark, d, "project", "year", "name_clean").withColumn("name", identity.name_key(F.col("name_clean"))).where("name <> ''").select("name", "project", "year")
     return identity.resolve_commenters(written(c, "names"))
 
 
 @query()
 def imputed_positions(spark, d):
     """Positions of spoken comments, the missing ones by the model; anonymous rows are left alone."""
-    c = written(once(table(spark, d, "comments")).where("channel = 'spoken'").select("comment_id", "text", "position", "is_anonymous").distinct(), "polarity")
+    c = written(comments(spark, d, "channel", "text", "position", "is_anonymous").where("channel = 'spoken'").drop("channel"), "polarity")
     scored = polarity.predict_positions(c, polarity.fit_positions(c, "text", "position"), "text")
     return polarity.impute(scored, "position", F.col("is_anonymous") == 1).select("comment_id", "predicted", "probability", "position_final", "position_source")
 
@@ -636,4 +646,4 @@ def release_table(spark, d):
 
 @query(f"SELECT 'comments' AS stage, 'values:channel' AS metric, channel AS key, count(*)::BIGINT AS value FROM {O.COMMENTS} GROUP BY channel UNION ALL SELECT 'comments', 'rows', NULL, count(*) FROM {O.COMMENTS} UNION ALL SELECT 'comments', 'filled:channel', NULL, count(channel) FROM {O.COMMENTS}")
 def stage_metrics(spark, d):
-    return A.metrics("comments", once(table(spark, d, "comments")), ["channel"])
+    return A.metrics("comments", comments(spark, d, "channel"), ["channel"])

@@ -9,28 +9,38 @@ from hearthline.functions.printed import case_number, printed_date
 from hearthline.functions.rules import lookup
 from hearthline.functions.text import blank_to_null, scrub_contacts
 from hearthline.operators.identity import name_key, resolve_commenters
-from hearthline.operators.relational import keep_first_resolvable, split_mixed, union_aligned
+from hearthline.operators.relational import keep_first, keep_first_resolvable, split_mixed, union_aligned
 
 POSITION = {"+": "support", "-": "oppose", "=": "neutral"}
 LEAD = ("comment_id", "channel", "meeting_date", "item_id", "id_parent", "name_clean", "position", "position_source", "text")
 
 
-def spoken_table(comments: DataFrame) -> DataFrame:
-    """Spoken comments, each testimony once: of rows equal in date, name, note and project the smallest id stays; rows without project or name are kept."""
-    spoken = comments.where("channel = 'spoken'").withColumn("_p", case_number(F.col("id_parent"))).withColumn("_d", printed_date(F.col("meeting_date")))
-    once = spoken.groupBy("comment_id").agg(F.min_by(F.struct(*[c for c in spoken.columns if c != "comment_id"]), "loaded_at").alias("_r")).select("comment_id", "_r.*")
-    kept = keep_first_resolvable(once, ["_d", "name_raw", "comment", "_p"], ["name_raw", "_p"], ["comment_id"])
-    return kept.withColumn("position", F.coalesce(lookup(F.col("sign"), POSITION), "position")).withColumn("text", F.coalesce("text", "comment")).drop("_p", "_d")
+def spoken_table(comments: DataFrame, *columns: str) -> DataFrame:
+    """Spoken comments, each testimony once: of rows equal in date, name, note and project the smallest id stays; rows without project or name are kept.
 
+    Only ``columns`` (all if none are named) and the keys are read; the note is compared by its SHA-256.
+    """
+    keep = [c for c in (columns or comments.columns) if c not in ("comment_id", "loaded_at")]
+    spoken = comments.where("channel = 'spoken'").select("comment_id", *keep, case_number(F.col("id_parent")).alias("_p"), printed_date(F.col("meeting_date")).alias("_d"), F.col("name_raw").alias("_r"), F.sha2("comment", 256).alias("_c")).distinct()
+    kept = keep_first_resolvable(spoken, ["_d", "_r", "_c", "_p"], ["_r", "_p"], ["comment_id"]).drop("_p", "_d", "_r", "_c")
+    if "position" in keep and "sign" in keep:
+        kept = kept.withColumn("position", F.coalesce(lookup(F.col("sign"), POSITION), "position"))
+    return kept.withColumn("text", F.coalesce("text", "comment")) if "text" in keep and "comment" in keep else kept
 
-def written_table(comments: DataFrame) -> DataFrame:
-    """Written comments with a sender, each message once, notices left out, mixed campaigns split by position."""
+
+def written_table(comments: DataFrame, *columns: str) -> DataFrame:
+    """Written comments with a sender, each message (sender, project, date, text) once, notices left out, mixed campaigns split by position in ``campaign_key``.
+
+    Only ``columns`` (all if none are named) and the keys are read; texts are compared by their SHA-256.
+    """
     notice = r"(?i)^\s*(\*{3}\s*media advisory|for immediate release|mayor'?s? (press )?office|schedule of public events)"
+    keep = [c for c in (columns or comments.columns) if c not in ("comment_id", "loaded_at")]
+    more = [c for c in ("is_campaign", "campaign", "position") if c not in keep]
     mail = comments.where("channel = 'email'").where(blank_to_null(F.col("sender_id")).isNotNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(notice))
-    keys = ["sender_id", "id_parent", "meeting_date", "text"]
-    once = mail.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in mail.columns if c not in keys]), "comment_id").alias("_r")).select(*keys, "_r.*")
+    mail = mail.select("comment_id", *keep, *more, F.col("sender_id").alias("_s"), F.col("id_parent").alias("_i"), F.col("meeting_date").alias("_d"), F.sha2("text", 256).alias("_t"))
+    once = keep_first(mail, ["_s", "_i", "_d", "_t"], ["comment_id"]).drop("_s", "_i", "_d", "_t")
     split = split_mixed(once.withColumn("_c", F.when(F.col("is_campaign") == 1, F.col("campaign"))), "_c", "position", "support", "oppose", "campaign_key")
-    return split.drop("_c")
+    return split.drop("_c", *more)
 
 
 def release(comments: DataFrame) -> DataFrame:
