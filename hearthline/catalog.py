@@ -470,7 +470,20 @@ def record_ids(spark, d):
     return table(spark, d, "items").select("record_id", R.record_type(r).alias("record_type"), R.record_parent(r).alias("parent")).distinct()
 
 
-@query()
+TYPE_SQL = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in R.STREET_TYPES.items()) + " ELSE {t} END"
+ORDINAL_SQL = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in R.ORDINAL_WORDS.items()) + " ELSE {t} END"
+
+
+@query(
+    f"""WITH a AS (SELECT DISTINCT unnest([prj_project_address, site_address]) AS address FROM items), b AS (SELECT address, regexp_replace(upper(string_split(address, ',')[1]), '\\s+[0-9]{{5}}(-[0-9]{{4}})?$', '') AS s FROM a WHERE address IS NOT NULL),
+             c AS (SELECT address, regexp_replace(regexp_replace(trim(regexp_replace(s, '\\s+', ' ', 'g')), '^([0-9]+) ?[-–] ?[0-9]+[A-Z]?\\b', '\\1'), '\\.( |$)', '\\1', 'g') AS s FROM b),
+             d AS (SELECT address, string_split(s, ' ') AS t FROM c),
+             e AS (SELECT address, t[1:greatest(list_max([0] || list_filter(range(1, len(t) + 1), lambda i: i <= 3 OR NOT regexp_matches(t[i], '{R.UNIT}'))), 1)] AS t FROM d),
+             f AS (SELECT address, list_filter(t, lambda x, i: i = 1 OR length(x) > 1 OR regexp_matches(x, '^[0-9]$')) AS t FROM e),
+             g AS (SELECT address, list_transform(t, lambda x, i: CASE WHEN i = len(t) AND i > 1 THEN {TYPE_SQL.format(t='x')} ELSE x END) AS t FROM f),
+             h AS (SELECT address, list_transform(t, lambda x: regexp_replace(x, '^([0-9])(ST|ND|RD|TH)$', '0\\1\\2')) AS t FROM g)
+        SELECT address, CASE WHEN trim(address) = '' THEN '' ELSE array_to_string(list_transform(t, lambda x: {ORDINAL_SQL.format(t='x')}), ' ') END AS normal FROM h"""
+)
 def norm_addresses(spark, d):
     a = table(spark, d, "items").select(F.explode(F.array("prj_project_address", "site_address")).alias("address")).where("address IS NOT NULL").distinct()
     return a.select("address", R.norm_address(F.col("address")).alias("normal"))
@@ -555,7 +568,17 @@ def name_cleanup(spark, d):
     return names.clean_names(c)
 
 
-@query()
+KINDS_SQL = "(?:sponsor|architect|owner|developer|team|representative|requestor|applicant|consultant|engineer|planner|contractor|speaker|staff)"
+ONLY_SQL = f"(?i)^\\s*(?:co-)?(?:project |property |building |discretionary review )?{KINDS_SQL}s?(?:''s)?\\s*(?:representative)?\\s*$"
+TAIL_SQL = "(?i)\\s*[-–—,]+\\s*((?:co-)?(?:project |property |building |discretionary review )?(?:sponsor|architect|owner|developer|requestor|applicant)s?)\\s*$"
+
+
+@query(
+    f"""WITH c AS (SELECT DISTINCT comment_id, name_clean, role_title, is_anonymous, coalesce(name_clean, '') AS n FROM comments), k AS (SELECT *, trim(regexp_replace(n, '{TAIL_SQL}', '')) AS short FROM c),
+             b AS (SELECT *, regexp_matches(short, '{ONLY_SQL}') OR regexp_matches(n, '{ONLY_SQL}') AS bare, short <> n AND short <> '' AS cut FROM k)
+        SELECT comment_id, CASE WHEN bare THEN NULL WHEN cut THEN short ELSE name_clean END AS name_clean, coalesce(role_title, nullif(CASE WHEN bare THEN trim(n) WHEN cut THEN regexp_extract(n, '{TAIL_SQL}', 1) END, '')) AS role_title,
+               CASE WHEN bare THEN 1 ELSE is_anonymous END::INT AS is_anonymous FROM b"""
+)
 def role_labels(spark, d):
     c = comments(spark, d, "name_clean", "role_title", "is_anonymous")
     return roles.demote_role_labels(c)
