@@ -114,6 +114,12 @@ def _date(c: str) -> str:
 
 
 ORACLES = {
+    "p1_found": r"""
+        WITH t AS (SELECT DISTINCT comment_id AS id, regexp_extract_all(text, '[\\p{L}\\p{N}]+') AS w FROM comments WHERE channel = 'email' AND text IS NOT NULL),
+             s AS (SELECT id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: lower(w[i]) || ' ' || lower(w[i + 1]) || ' ' || lower(w[i + 2]))) AS s FROM t WHERE len(w) >= 30),
+             e AS (SELECT id, len(s) AS n, unnest(s) AS g FROM s),
+             p AS (SELECT a.id AS x, b.id AS y, a.n AS n, b.n AS m, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.id < b.id GROUP BY ALL)
+        SELECT x AS comment_id_a, y AS comment_id_b FROM p WHERE k >= 0.5 * (n + m - k)""".replace("\\\\", "\\"),
     "p2_found": f"""
         WITH l AS (SELECT DISTINCT comment_id, {_case('id_parent')} AS k, {_date('meeting_date')} AS d FROM comments WHERE channel = 'email'),
              r AS (SELECT DISTINCT item_id, {_case('id_parent')} AS k, {_date('meeting_date')} AS d FROM items),
