@@ -93,14 +93,15 @@ SCRIPT_REST = re.compile(
 )
 WORD = re.compile(r"[^\W_]+")
 #: A quick look before the patterns are tried: without any of these they can't match.
-ERROR_HINTS = ("http", "not found", "gateway", "forbidden", "unavailable", "server error", "error", "unauthorized", "bad request", "gone", "database", "viewstate", "session", "went wrong", "access denied", "access is denied", "permission denied", "time", "too many", "could not be", "cannot be", "encontrada", "exception")
+ERROR_HINTS = ("http", "not found", "gateway", "forbidden", "unavailable", "server error", "fatal error", "unauthorized", "bad request", " gone", "database", "viewstate", "session", "went wrong", "access denied", "access is denied", "permission denied", "timed out", "timed-out", "time out", "time-out", "timeout", "timedout", "too many", "could not be", "cannot be", "no encontrada", "exception")
+FILLER_HINTS = ("body text", "test test", "asdf", "xxx", "goes here", "sample text", "dummy", "placeholder", "filler", "heading one", "replace before", "quick brown fox")
 SCRIPT_HINTS = ("script", "browser", "cookies")
 #: Words that may be left of an error page or script notice when all known wording is taken out.
 REST_WORDS, REST_SHARE = 8, 0.34
 
 
 def _filler(low: str) -> bool:
-    if FILLER_PHRASES.search(low):
+    if any(h in low for h in FILLER_HINTS) and FILLER_PHRASES.search(low):
         return True
     if "lorem" not in low and sum(w in low for w in ("sempra", "varimus", "nusquam", "lavende", "aliqu", "tempor", "conset", "consect", "vestim", "duis", "elitra")) < 2:
         return False
