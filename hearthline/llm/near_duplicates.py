@@ -42,6 +42,8 @@ BANDS, ROWS = 96, 3
 SKETCH_WORDS, CHAIN = 8, 3
 #: A record with fewer uncommon shingles also draws signatures over all its shingles.
 FEW = 24
+#: Kinds of signatures. Each has its own salt, whichever other kinds the record draws.
+RARE, ALL = 0, 1
 #: Records that share a signature before Spark's join takes over, and signature bits kept.
 HOT, SIGNATURE_BITS = 2048, 40
 
@@ -144,13 +146,15 @@ def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The signatures of one record (SIGNATURE_BITS bits each)."""
     rare = shingles[~common[(shingles & np.uint64(BINS - 1)).astype(np.int64)]]
-    bases = [rare] if len(rare) >= FEW else [x for x in (rare, shingles) if len(x)]
+    bases = [(RARE, rare), (ALL, shingles)] if len(rare) < FEW else [(RARE, rare)]
     out = []
-    for k, base in enumerate(bases):
+    for kind, base in bases:
+        if not len(base):
+            continue
         x = (base >> np.uint64(15)).astype(np.uint32)[:, None] * MULTIPLY
         x += ADD
         least = x.min(axis=0).astype(np.uint64).reshape(BANDS, ROWS)
-        s = BAND_SALT + np.uint64(k)
+        s = BAND_SALT + np.uint64(kind)
         for r in range(ROWS):
             s = (s ^ least[:, r]) * np.uint64(0x9E3779B97F4A7C15)
             s ^= s >> np.uint64(29)

@@ -56,6 +56,19 @@ def test_hot_signatures_are_joined_too(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def drive_and_others(own):
+    """A drive of a third of all records, with so many own words at the end of each letter, and unrelated letters."""
+    base = " ".join(f"w{i}" for i in range(102))
+    rows = [(f"d{k:03d}", " ".join([base, *(f"own{k}x{i}" for i in range(own(k)))])) for k in range(120)]
+    return rows + [(f"o{k:03d}", " ".join(f"o{k}x{i}" for i in range(60))) for k in range(240)]
+
+
+def test_unedited_letters_of_a_hot_drive_meet_edited_ones(spark):
+    rows = drive_and_others(lambda k: k % 2 * 5)
+    got = {(r.id_a, r.id_b) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "id string, text string")).collect()}
+    assert got == brute(rows)
+
+
 def test_folding_never_adds_differences():
     rnd = np.random.default_rng(1)
     for _ in range(50):
