@@ -3,8 +3,10 @@
 1. One pass counts, over all records, how many shingles fall into each of a fixed number of shingle bins; bins with more
    shingles than a twentieth of all records are common. There are at most 20 x (mean shingles) of them, so they may travel.
 2. Every record draws BANDS signatures, each over three independent minimum hashes of its uncommon shingles, so that two
-   similar records agree on some signature while unrelated ones, which share common wording only, don't. Signatures are
-   packed per target partition (sorted, delta-coded) before the shuffle; equal ones yield candidate pairs.
+   similar records agree on some signature while unrelated ones, which share common wording only, don't. The wording of
+   a large drive is common too, so every record that has common shingles also draws WIDE_BANDS signatures over five
+   minimum hashes of all its shingles: unrelated records rarely agree on five. Signatures are packed per target
+   partition (sorted, delta-coded) before the shuffle; equal ones yield candidate pairs.
 3. Pigeonring filtering. The shingle set of a record is folded into a bit vector (each shingle flips one bit), cut into
    a ring of segments. Two sets of sizes a and b with a Jaccard similarity of t or more differ in at most
    T = (a + b)(1 - t) / (1 + t) shingles, so their vectors differ in at most T bits. By the pigeonring principle some
@@ -39,11 +41,12 @@ from hearthline.session import written
 SHINGLE, THRESHOLD, MIN_WORDS = 3, 0.5, 30
 BINS, COMMON, COMMON_LEAST = 1 << 15, 20, 100
 BANDS, ROWS = 96, 3
+WIDE_BANDS, WIDE_ROWS = 192, 5
 SKETCH_WORDS, CHAIN = 8, 3
 #: A record with fewer uncommon shingles also draws signatures over all its shingles.
 FEW = 24
 #: Kinds of signatures. Each has its own salt, whichever other kinds the record draws.
-RARE, ALL = 0, 1
+RARE, ALL, WIDE = 0, 1, 2
 #: Records that share a signature before Spark's join takes over, and signature bits kept.
 HOT, SIGNATURE_BITS = 2048, 40
 
@@ -63,7 +66,9 @@ def _split_mix(n: int, seed: int) -> np.ndarray:
 
 MULTIPLY = (_split_mix(BANDS * ROWS, 11) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 ADD = (_split_mix(BANDS * ROWS, 23) >> np.uint64(32)).astype(np.uint32)
-BAND_SALT = _split_mix(BANDS, 37)
+BAND_SALT = _split_mix(max(BANDS, WIDE_BANDS), 37)
+#: The minimum hashes that each of the signatures over five takes.
+WIDE_PICK = np.array([np.argsort(_split_mix(BANDS * ROWS, 1000 + b))[:WIDE_ROWS] for b in range(WIDE_BANDS)])
 _ODD = _split_mix(SHINGLE, 53) | np.uint64(1)
 
 
@@ -143,22 +148,35 @@ def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], total), pa.int64())], ["bin", "n"])
 
 
+def _least(shingles: np.ndarray) -> np.ndarray:
+    """The minimum hashes of a set."""
+    x = (shingles >> np.uint64(15)).astype(np.uint32)[:, None] * MULTIPLY
+    x += ADD
+    return x.min(axis=0)
+
+
+def _signed(least: np.ndarray, kind: int) -> np.ndarray:
+    """One signature of this kind for each row of minimum hashes."""
+    s = BAND_SALT[: len(least)] + np.uint64(kind)
+    for r in range(least.shape[1]):
+        s = (s ^ least[:, r].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        s ^= s >> np.uint64(29)
+    return s & np.uint64((1 << SIGNATURE_BITS) - 1)
+
+
 def signatures(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The signatures of one record (SIGNATURE_BITS bits each)."""
-    rare = shingles[~common[(shingles & np.uint64(BINS - 1)).astype(np.int64)]]
-    bases = [(RARE, rare), (ALL, shingles)] if len(rare) < FEW else [(RARE, rare)]
+    at = common[(shingles & np.uint64(BINS - 1)).astype(np.int64)]
+    rare, rest = shingles[~at], shingles[at]
+    least = [_least(x) for x in (rare, rest) if len(x)]
+    whole = least[0] if len(least) == 1 else np.minimum(*least)
     out = []
-    for kind, base in bases:
-        if not len(base):
-            continue
-        x = (base >> np.uint64(15)).astype(np.uint32)[:, None] * MULTIPLY
-        x += ADD
-        least = x.min(axis=0).astype(np.uint64).reshape(BANDS, ROWS)
-        s = BAND_SALT + np.uint64(kind)
-        for r in range(ROWS):
-            s = (s ^ least[:, r]) * np.uint64(0x9E3779B97F4A7C15)
-            s ^= s >> np.uint64(29)
-        out.append(s & np.uint64((1 << SIGNATURE_BITS) - 1))
+    if len(rare):
+        out.append(_signed(least[0].reshape(BANDS, ROWS), RARE))
+    if len(rare) < FEW:
+        out.append(_signed(whole.reshape(BANDS, ROWS), ALL))
+    if len(rest):  # without common shingles, the uncommon ones of a similar record are at least as similar
+        out.append(_signed(whole[WIDE_PICK], WIDE))
     return np.concatenate(out)
 
 
@@ -348,7 +366,7 @@ def near_duplicates(records: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
     packed = reps.select("who", "text").mapInArrow(_pack(common, parts), "part int, sigs binary, ids binary")
     met = written(packed.repartitionById(parts, "part").mapInArrow(_meet, "pair bigint, sig bigint, who int"), "p1-met")
-    # a pair that shares several hot signatures is made at the least of them only; a record has at most 2 x BANDS of them
+    # a pair that shares several hot signatures is made at the least of them only; a record has at most 2 x BANDS + WIDE_BANDS of them
     hot = met.where("pair IS NULL").select("sig", "who").distinct()
     hot = hot.join(hot.groupBy("who").agg(F.collect_set("sig").alias("all")), "who")
     shared = hot.alias("a").join(hot.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.who") < F.col("b.who")))

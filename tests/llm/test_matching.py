@@ -69,6 +69,13 @@ def test_unedited_letters_of_a_hot_drive_meet_edited_ones(spark):
     assert got == brute(rows)
 
 
+def test_letters_of_a_hot_drive_with_own_paragraphs_meet(spark):
+    rows = drive_and_others(lambda k: (0, 5, 24, 30, 40)[k % 5])
+    want = brute(rows)
+    got = {(r.id_a, r.id_b) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "id string, text string")).collect()}
+    assert got <= want and len(got) >= 0.999 * len(want)
+
+
 def test_folding_never_adds_differences():
     rnd = np.random.default_rng(1)
     for _ in range(50):
