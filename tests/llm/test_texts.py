@@ -185,3 +185,36 @@ def test_residue_spreads_through_the_tables(spark, monkeypatch):
 
     monkeypatch.setattr(r, "_examine", marked)
     assert {(x.doc_id, x.residue) for x in r.find_residue(seen).collect()} == {(1, "error_page"), (2, "error_page")}
+
+
+def test_residue_spreads_at_the_stated_similarity(spark, monkeypatch):
+    """With production settings, every page of a similarity of 0.8 or more with a labelled one is found."""
+    rnd = random.Random(5)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+
+    rows, want = [], set()
+    for g in range(20):
+        base = [word() for _ in range(60)]
+        rows.append((g * 10, " ".join(base)))
+        want.add(g * 10)
+        for k, places in enumerate(([30], [0], [10, 11], [5, 25, 45]), 1):  # the last one is below 0.8
+            near = [word() if i in places else w for i, w in enumerate(base)]
+            rows.append((g * 10 + k, " ".join(near)))
+            a, b = (residue.shingles(residue.normal_words(" ".join(x))) for x in (base, near))
+            if len(a & b) >= 0.8 * len(a | b):
+                want.add(g * 10 + k)
+    assert len(want) == 80
+    real = residue._examine
+
+    def marked(batches):
+        import pyarrow as pa
+
+        for b in real(batches):
+            ids = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(["error_page" if i % 10 == 0 else None for i in ids], pa.string()), pa.array([i % 10 == 0 for i in ids]), b.column(3), b.column(4)], b.schema.names)
+
+    monkeypatch.setattr(residue, "_examine", marked)
+    got = {r.doc_id for r in residue.find_residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
