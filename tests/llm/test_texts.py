@@ -218,3 +218,10 @@ def test_residue_spreads_at_the_stated_similarity(spark, monkeypatch):
     monkeypatch.setattr(residue, "_examine", marked)
     got = {r.doc_id for r in residue.find_residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == want
+
+
+def test_long_error_pages_and_notices_are_labelled():
+    trace = "500 Internal Server Error\n" + "at app.views.Handler(Handler.java:42)\n" * 100
+    notice = "Please enable JavaScript to view this page. " + "Menu Search Home Hearings Contact Site map\n" * 100
+    letter = "The page said 404 not found. " + "I walked the whole street and every neighbour is against the tower. " * 40
+    assert [residue.label_of(t) for t in (trace, notice, letter)] == [("error_page", True), ("script_notice", True), (None, False)]
