@@ -142,3 +142,9 @@ def test_organisations(spark):
     rows = ["Oakfield Hill Neighbors Association", "Oakfield Hl Neighbors Ass'n", "Neighbors Assn of Oakfield Hill", "The Oakfeild Hill Neighbors Association, Inc.", "OAKFIELD HILL NEIGHBORS ASSOCIATION (OHNA)", "Oakfield Hill Merchants Association", "Oakfield Valley Neighbors Association", None, ""]
     got = {(r.name_a, r.name_b) for r in names.link_organisations(spark.createDataFrame([(r,) for r in rows], "name string")).collect()}
     assert got == {tuple(sorted(x)) for x in combinations(rows[:5], 2)}
+
+
+def test_organisations_without_type_words_or_proper_part():
+    o = names.organisation
+    assert o("Spur") == o("SPUR, Inc.") == ("", "spur") and o("Mission Bay Alliance") == o("MISSION BAY ALLIANCE, Inc.") is not None
+    assert o("Inc.") is not None and o("Spur") != o("Spur Association") and o(None) is o(" ") is o("--") is None
