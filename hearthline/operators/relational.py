@@ -183,3 +183,20 @@ def resolve_chain(edges: DataFrame, source: str, target: str, max_rounds: int =
         if step.where("_moved").limit(1).count() == 0:
             return out
     raise RuntimeError("chains did not end; is there a cycle?")
+
+
+def pairs_within(members: DataFrame, keys: Sequence[str], value: str, block: int = 2048) -> DataFrame:
+    """(keys, value_a, value_b): the pairs of values that share a key, the smaller value first, each once per key.
+
+    A key of more than ``block`` rows is cut into blocks of about that many, and each pair of blocks is a join key of its
+    own, so no task pairs more than ``block`` rows with as many, however hot the key. Rows with nulls are in no pair;
+    repeated (key, value) rows must have been folded before.
+    """
+    rows = members.select(*keys, value).dropna()
+    big = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_cuts")).where("_cuts > 1")
+    rows = rows.join(big, list(keys), "left").withColumn("_cuts", F.coalesce("_cuts", F.lit(1)))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64(value), F.col("_cuts")).cast("int"))
+    left = rows.select(*keys, F.col(value).alias("_x"), F.col("_own").alias("_i"), F.explode(F.sequence(F.col("_own"), F.col("_cuts") - 1)).alias("_j"))
+    right = rows.select(*keys, F.col(value).alias("_y"), F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"), F.col("_own").alias("_j"))
+    met = left.join(right, [*keys, "_i", "_j"]).where((F.col("_i") < F.col("_j")) & (F.col("_x") != F.col("_y")) | (F.col("_x") < F.col("_y")))
+    return met.select(*keys, F.least("_x", "_y").alias(f"{value}_a"), F.greatest("_x", "_y").alias(f"{value}_b"))
