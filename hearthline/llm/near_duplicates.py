@@ -1,23 +1,26 @@
 """Near-duplicate records with small edits: all pairs whose word shingles are similar enough.
 
-1. One pass counts, over all records, how many shingles fall into each of a fixed number of shingle bins; bins with more
-   shingles than a twentieth of all records are common. There are at most 20 x (mean shingles) of them, so they may travel.
-2. Every record draws BANDS signatures, each over three independent minimum hashes of its uncommon shingles, so that two
-   similar records agree on some signature while unrelated ones, which share common wording only, don't. The wording of
-   a large drive is common too, so every record that has common shingles also draws WIDE_BANDS signatures over five
-   minimum hashes of all its shingles: unrelated records rarely agree on five. Signatures are packed per target
-   partition (sorted, delta-coded) before the shuffle; equal ones yield candidate pairs.
-3. Pigeonring filtering. The shingle set of a record is folded into a bit vector (each shingle flips one bit), cut into
+1. One pass over all records hashes the words of each text, forms its shingle set and draws BANDS signatures, each over
+   ROWS minimum hashes of the whole set. Nothing is left out of a set, however common, so a drive of any size is seen.
+   Two sets of similarity s agree on a signature with probability s^ROWS: a pair at exactly 0.5 shares one of the BANDS
+   in 99.9 % of cases, a more similar one more often, while unrelated records (0.04 on average) hardly ever do.
+   Signatures are packed per target partition (sorted, delta-coded) before the shuffle; equal ones yield candidates.
+   One bit of each of AGREE_BITS minimum hashes travels along: two similar records agree in (1 + s) / 2 of them, so
+   most pairs of unrelated records are dropped where they meet (a margin of 4.5 standard deviations is left).
+   The same pass writes a sketch of every record (below), so that texts are not read again for it.
+2. Pigeonring filtering. The shingle set of a record is folded into a bit vector (each shingle flips one bit), cut into
    a ring of segments. Two sets of sizes a and b with a Jaccard similarity of t or more differ in at most
    T = (a + b)(1 - t) / (1 + t) shingles, so their vectors differ in at most T bits. By the pigeonring principle some
    chain of consecutive segments then keeps every one of its prefixes within its proportional budget (l segments: at
    most l T / m differences). Candidates without such a chain are pruned, then those over T in the full Hamming check.
    Folding never adds differences, so no similar pair is lost here.
-4. What is left is verified on the shingle sets themselves (64-bit hashes of word runs).
+3. What is left is verified on the shingle sets themselves, of which only those still wanted are moved. Sets are
+   compared by SET_BYTES bytes of each hash: two different shingles of a pair agree by chance in one of 10^7 pairs.
 
-The recall of step 2 is probabilistic: measured against brute force in the README. Records with equal shingle sets
-share one representative throughout; membership expands at the end, because the result is defined on ids.
-Signatures shared by very many records are joined by Spark instead of in one task, so that skew is split.
+The recall of step 1 is probabilistic: measured against brute force in the README. Records with equal texts share one
+64-bit handle throughout; membership expands at the end, because the result is defined on ids. The number of partitions
+follows from the number of records, so what one task holds doesn't grow with the table. Signatures and texts shared by
+very many records are paired in blocks (``pairs_within``), so no key, however hot, is paired in one task.
 
 Defined results: null texts and texts of fewer than MIN_WORDS words are in no pair; repeated ids count once; ids with
 equal texts pair with each other; whole texts are read; an empty table gives an empty result.
@@ -25,394 +28,297 @@ equal texts pair with each other; whole texts are read; an empty table gives an
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.llm.hashing import choices, keys_of, least_hashes, shingled, split_mix, word_hashes
+from hearthline.operators.relational import pairs_within
 from hearthline.session import written
 
 SHINGLE, THRESHOLD, MIN_WORDS = 3, 0.5, 30
-BINS, COMMON, COMMON_LEAST = 1 << 15, 20, 100
-BANDS, ROWS = 96, 3
-WIDE_BANDS, WIDE_ROWS = 192, 5
+#: Signatures a record and minimum hashes a signature.
+BANDS, ROWS = 256, 5
+#: Minimum hashes of which one bit is compared where two records meet, and the margin in standard deviations.
+AGREE_BITS, MARGIN = 256, 4.5
 SKETCH_WORDS, CHAIN = 8, 3
-#: A record with fewer uncommon shingles also draws signatures over all its shingles.
-FEW = 24
-#: Kinds of signatures. Each has its own salt, whichever other kinds the record draws.
-RARE, ALL, WIDE = 0, 1, 2
-#: Records that share a signature before Spark's join takes over, and signature bits kept.
-HOT, SIGNATURE_BITS = 2048, 40
-
-WORD = re.compile(r"[^\W_]+")
-_MASK = (1 << 64) - 1
-
-
-def _split_mix(n: int, seed: int) -> np.ndarray:
-    out, x = [], seed
-    for _ in range(n):
-        x = (x + 0x9E3779B97F4A7C15) & _MASK
-        z = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
-        z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & _MASK
-        out.append(z ^ (z >> 31))
-    return np.array(out, dtype=np.uint64)
-
-
-MULTIPLY = (_split_mix(BANDS * ROWS, 11) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-ADD = (_split_mix(BANDS * ROWS, 23) >> np.uint64(32)).astype(np.uint32)
-BAND_SALT = _split_mix(max(BANDS, WIDE_BANDS), 37)
-#: The minimum hashes that each of the signatures over five takes.
-WIDE_PICK = np.array([np.argsort(_split_mix(BANDS * ROWS, 1000 + b))[:WIDE_ROWS] for b in range(WIDE_BANDS)])
-_ODD = _split_mix(SHINGLE, 53) | np.uint64(1)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
-class _Words(dict):
-    """What lies between blanks -> places of its words in a table of word hashes. Both are forgotten at a bound."""
-
-    def __init__(self) -> None:
-        self.places: dict[str, int] = {}
-        self.hashes = np.zeros(1024, dtype=np.uint64)
-
-    def __missing__(self, run: str) -> tuple[int, ...]:
-        out = []
-        for w in WORD.findall(run):
-            w = w.lower()
-            at = self.places.get(w)
-            if at is None:
-                at = self.places[w] = len(self.places)
-                if at >= len(self.hashes):
-                    self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-                self.hashes[at] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-            out.append(at)
-        self[run] = out = tuple(out)
-        return out
-
-
-class Shingler:
-    """Word runs of a text as 64-bit hashes."""
-
-    def __init__(self) -> None:
-        self.words = _Words()
-
-    def __call__(self, text: str | None) -> np.ndarray | None:
-        """The distinct shingles, sorted; None if the text has too few words."""
-        if not text:
-            return None
-        words, places = self.words, []
-        if len(words) > 500_000:
-            words = self.words = _Words()
-        for run in text.split():
-            places += words[run]
-        if len(places) < MIN_WORDS:
-            return None
-        h = words.hashes[np.array(places, dtype=np.int64)]
-        n = len(h) - SHINGLE + 1
-        x = h[:n] * _ODD[0]
-        for k in range(1, SHINGLE):
-            x += h[k : k + n] * _ODD[k]
-        x = np.sort(_mix(x))
-        new = np.empty(n, dtype=bool)
-        new[0] = True
-        np.not_equal(x[1:], x[:-1], out=new[1:])
-        return x[new]
-
-
-def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bin, n): distinct shingles of all records per bin, and the number of records as bin -1."""
-    shingler, counts, total, held, size = Shingler(), np.zeros(BINS, dtype=np.int64), 0, [], 0
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            s = shingler(text)
-            if s is not None:
-                total += 1
-                held.append(s)
-                size += len(s)
-                if size > 500_000:
-                    counts += np.bincount((np.concatenate(held) & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-                    held, size = [], 0
-    if held:
-        counts += np.bincount((np.concatenate(held) & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], total), pa.int64())], ["bin", "n"])
-
-
-def _least(shingles: np.ndarray) -> np.ndarray:
-    """The minimum hashes of a set."""
-    x = (shingles >> np.uint64(15)).astype(np.uint32)[:, None] * MULTIPLY
-    x += ADD
-    return x.min(axis=0)
-
-
-def _signed(least: np.ndarray, kind: int) -> np.ndarray:
-    """One signature of this kind for each row of minimum hashes."""
-    s = BAND_SALT[: len(least)] + np.uint64(kind)
-    for r in range(least.shape[1]):
-        s = (s ^ least[:, r].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        s ^= s >> np.uint64(29)
-    return s & np.uint64((1 << SIGNATURE_BITS) - 1)
-
-
-def signatures(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The signatures of one record (SIGNATURE_BITS bits each)."""
-    at = common[(shingles & np.uint64(BINS - 1)).astype(np.int64)]
-    rare, rest = shingles[~at], shingles[at]
-    least = [_least(x) for x in (rare, rest) if len(x)]
-    whole = least[0] if len(least) == 1 else np.minimum(*least)
-    out = []
-    if len(rare):
-        out.append(_signed(least[0].reshape(BANDS, ROWS), RARE))
-    if len(rare) < FEW:
-        out.append(_signed(whole.reshape(BANDS, ROWS), ALL))
-    if len(rest):  # without common shingles, the uncommon ones of a similar record are at least as similar
-        out.append(_signed(whole[WIDE_PICK], WIDE))
+#: Records that share a signature before it is paired in blocks, bytes of a signature kept, records a partition.
+HOT, SIGNATURE_BYTES, PARTITION_RECORDS = 2048, 6, 16_384
+#: Bytes of each shingle hash that the last check compares.
+SET_BYTES = 5
+BAND_SALT, PICK = split_mix(BANDS, 37), choices(BANDS, ROWS, 1000)
+
+
+def sets_of(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places in ``texts``, shingles, bounds): the distinct shingles of each text of enough words, sorted, end to end."""
+    for first, h, bounds in word_hashes(texts):
+        shingles, cut = shingled(h, bounds, SHINGLE)
+        enough = np.diff(bounds) >= MIN_WORDS
+        if not enough.all():
+            sizes = np.diff(cut)
+            shingles, cut = shingles[np.repeat(enough, sizes)], np.append(0, np.cumsum(sizes[enough]))
+        if enough.any():
+            yield first + np.flatnonzero(enough), shingles, cut
+
+
+def sketches(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Each set folded into SKETCH_WORDS x 64 bits: each shingle flips one bit. One row of words a set."""
+    bits, out = SKETCH_WORDS * 64, []
+    slot = ((shingles >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
+    for i in range(0, len(bounds) - 1, 512):
+        part = bounds[i : i + 513]
+        rows = np.repeat(np.arange(len(part) - 1), np.diff(part))
+        flips = np.bincount(rows * bits + slot[part[0] : part[-1]], minlength=(len(part) - 1) * bits)
+        out.append(np.packbits((flips & 1).astype(np.uint8)).view(">i8").astype(np.int64).reshape(-1, SKETCH_WORDS))
     return np.concatenate(out)
 
 
-def _pack(common: np.ndarray, parts: int):
+SKETCH = [f"w{k}" for k in range(SKETCH_WORDS)]
+PACKED = pa.schema([("part", pa.int32()), ("sigs", pa.binary()), ("at", pa.binary()), ("whos", pa.binary()), ("ns", pa.binary()), ("words", pa.binary()), ("bits", pa.binary())])
+
+
+def _pack(parts: int):
+    """Signatures and sketches of a batch by target partition: signatures as sorted steps with places in the batch's handles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, squeeze = Shingler(), zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int32)
-            sigs, owners = [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                s = shingler(text)
-                if s is not None:
-                    g = signatures(s, common)
-                    sigs.append(g)
-                    owners.append(np.full(len(g), i, dtype=np.uint32))
-            if not sigs:
-                continue
-            sig, owner = np.concatenate(sigs), np.concatenate(owners)
-            part = (sig % np.uint64(parts)).astype(np.int32)
-            order = np.lexsort((sig, part))
-            sig, owner, part = sig[order], owner[order], part[order]
-            cuts = np.searchsorted(part, np.arange(parts + 1))
-            rows = []
-            for p in range(parts):
-                a, b = cuts[p], cuts[p + 1]
-                if a < b:
-                    step = np.diff(sig[a:b], prepend=np.uint64(0))
-                    planes = step.view(np.uint8).reshape(-1, 8)[:, : SIGNATURE_BITS // 8].T
-                    rows.append((p, squeeze.compress(np.ascontiguousarray(planes).tobytes()), ids[owner[a:b]].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["part", "sigs", "ids"])
+            handles, texts = _once(batch)
+            held, size = [], 0
+            for at, shingles, bounds in sets_of(texts):
+                least = least_hashes(shingles, bounds)
+                sig = keys_of(least, PICK, BAND_SALT) >> np.uint64(64 - 8 * SIGNATURE_BYTES)
+                bits = np.packbits((least[:, :AGREE_BITS] & 1).astype(np.uint8), axis=1)
+                held.append((handles[at], np.diff(bounds).astype(np.int32), sig, sketches(shingles, bounds), bits))
+                size += len(at)
+                if size > 30_000:  # places have 16 bits; a chunk has far fewer texts
+                    yield packed_rows(*map(np.concatenate, zip(*held)), parts, squeeze)
+                    held, size = [], 0
+            if held:
+                yield packed_rows(*map(np.concatenate, zip(*held)), parts, squeeze)
 
     return run
 
 
-def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    lo, hi = np.minimum(x, y).astype(np.int64), np.maximum(x, y).astype(np.int64)
-    return (lo << 32) | (hi & 0xFFFFFFFF)
+def _once(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str | None]]:
+    """The handles of a batch and its texts, repeated ones left out."""
+    handles = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    texts = batch.column(1).to_pylist()
+    _, once = np.unique(handles, return_index=True)
+    if len(once) < len(texts):
+        first = set(once.tolist())
+        texts = [t if i in first else None for i, t in enumerate(texts)]
+    return handles, texts
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of one partition of signatures; (signature, id) where too many share one."""
-    expand = zstandard.ZstdDecompressor()
-    parts: dict[int, tuple[list, list]] = {}
-    for batch in batches:
-        for p, blob, who in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            planes = np.frombuffer(expand.decompress(blob), dtype=np.uint8).reshape(SIGNATURE_BITS // 8, -1)
-            step = np.zeros((planes.shape[1], 8), dtype=np.uint8)
-            step[:, : SIGNATURE_BITS // 8] = planes.T
-            s, i = parts.setdefault(p, ([], []))
-            s.append(np.cumsum(step.view(np.uint64).ravel()))
-            i.append(np.frombuffer(who, dtype=np.int32))
-    for p in sorted(parts):
-        s, i = parts.pop(p)
-        sigs, ids = np.concatenate(s), np.concatenate(i)
-        order = np.lexsort((ids, sigs))
-        sigs, ids = sigs[order], ids[order]
-        new = np.append(True, (sigs[1:] != sigs[:-1]) | (ids[1:] != ids[:-1]))  # copies count once
-        sigs, ids = sigs[new], ids[new]
-        first = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1]))
-        size = np.diff(np.append(first, len(sigs)))
-        found, count = [], 0
-        for n in np.unique(size[size > 1]):
-            starts = first[size == n]
-            if n > HOT:
-                for a in starts:
-                    for b in range(a, a + n, 50_000):
-                        who = ids[b : min(b + 50_000, a + n)]
-                        yield _rows(np.full(len(who), -1), np.full(len(who), sigs[a], dtype=np.uint64).astype(np.int64), who)
-                continue
-            upper = np.triu_indices(n, 1)
-            for c in range(0, len(starts), max(1, 1_000_000 // len(upper[0]))):
-                block = starts[c : c + max(1, 1_000_000 // len(upper[0]))]
-                x, y = ids[block[:, None] + upper[0]].ravel(), ids[block[:, None] + upper[1]].ravel()
-                pairs = np.unique(_pair(x[x != y], y[x != y]))
-                found.append(pairs)
-                count += len(pairs)
-                if count > 2_000_000:
-                    pairs = np.unique(np.concatenate(found))
-                    yield _rows(pairs, np.zeros(len(pairs)), np.zeros(len(pairs)))
-                    found, count = [], 0
-        if found:
-            pairs = np.unique(np.concatenate(found))
-            yield _rows(pairs, np.zeros(len(pairs)), np.zeros(len(pairs)))
-
-
-def _rows(pair: np.ndarray, sig: np.ndarray, who: np.ndarray) -> pa.RecordBatch:
-    hot = pair == -1
-    return pa.RecordBatch.from_arrays(
-        [pa.array(pair.astype(np.int64), pa.int64(), mask=hot), pa.array(sig.astype(np.int64), pa.int64(), mask=~hot), pa.array(who.astype(np.int32), pa.int32(), mask=~hot)], ["pair", "sig", "who"]
-    )
-
-
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The set folded into SKETCH_WORDS x 64 bits: each shingle flips one bit."""
-    bits = np.bincount(((shingles >> np.uint64(20)) % np.uint64(SKETCH_WORDS * 64)).astype(np.int64), minlength=SKETCH_WORDS * 64) & 1
-    return np.packbits(bits.astype(np.uint8)).view(">i8").astype(np.int64)
-
-
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler()
-    for batch in batches:
-        keep, sizes, folded = [], [], []
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            s = shingler(text)
-            if s is not None:
-                keep.append(i)
-                sizes.append(len(s))
-                folded.append(sketch(s))
-        words = np.array(folded, dtype=np.int64).reshape(-1, SKETCH_WORDS)
-        at = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(sizes, pa.int32()), *(pa.array(words[:, k], pa.int64()) for k in range(SKETCH_WORDS))], ["who", "print", "n", *(f"w{k}" for k in range(SKETCH_WORDS))])
+def packed_rows(who: np.ndarray, n: np.ndarray, sig: np.ndarray, folded: np.ndarray, bits: np.ndarray, parts: int, squeeze: zstandard.ZstdCompressor) -> pa.RecordBatch:
+    key = ((sig << np.uint64(16)) | np.arange(len(who), dtype=np.uint64)[:, None]).ravel()
+    key.sort()
+    sig, place = key >> np.uint64(16), (key & np.uint64(0xFFFF)).astype(np.uint16)
+    cuts = np.searchsorted(sig, _floors(parts))
+    home = who % parts
+    rows = []
+    for p in range(parts):
+        a, b = cuts[p], cuts[p + 1]
+        mine = np.flatnonzero(home == p)
+        used, local = np.unique(place[a:b], return_inverse=True) if parts > 32 else (np.arange(len(who)), place[a:b])
+        step = np.diff(sig[a:b], prepend=np.uint64(0))
+        planes = step.view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES].T
+        heads = np.concatenate([who[used], who[mine]])
+        rows.append((p, squeeze.compress(np.ascontiguousarray(planes).tobytes()), local.astype(np.uint16).tobytes(), heads.tobytes(), n[mine].tobytes(), folded[mine].tobytes(), bits[used].tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), PACKED.types)], schema=PACKED)
 
 
-def _sets(wanted: np.ndarray):
-    bits = len(wanted) * 8
+def _floors(parts: int) -> np.ndarray:
+    """The least signature of each partition, and one beyond the last."""
+    return np.array([(p << (8 * SIGNATURE_BYTES)) // parts for p in range(parts + 1)], dtype=np.uint64)
+
+
+MET = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), *((w, pa.int64()) for w in SKETCH)])
+
+
+def _met(x=None, y=None, sig=None, n=None, words=None) -> pa.RecordBatch:
+    size = len(x)
+    columns = [x, y, sig, n, *(words.T if words is not None else [None] * SKETCH_WORDS)]
+    return pa.RecordBatch.from_arrays([pa.nulls(size, t) if c is None else pa.array(c, t) for c, t in zip(columns, MET.types)], schema=MET)
+
+
+def _meet(threshold: float):
+    agree = (1 + threshold) / 2
+    most = AGREE_BITS - int(AGREE_BITS * agree - MARGIN * (AGREE_BITS * agree * (1 - agree)) ** 0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        """Candidate pairs (x, y) of one partition; (x, sig) where too many share one; sketches (x, n, words) passed through."""
+        expand = zstandard.ZstdDecompressor()
+        parts: dict[int, list[tuple]] = {}
         for batch in batches:
-            who = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            slot = who % bits
-            hit = np.flatnonzero(wanted[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
-            kept, texts = [], batch.column(1)
-            sets = []
-            for i in hit.tolist():
-                s = shingler(texts[i].as_py())
-                if s is not None:
-                    kept.append(i)
-                    sets.append((s >> np.uint64(32)).astype(np.uint32).tobytes() if SET_BYTES == 4 else s.tobytes())
-            at = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(sets, pa.binary())], ["who", "print", "shingles"])
+            for p, blob, at, whos, ns, folded, bits in zip(*(batch.column(k).to_pylist() for k in range(7))):
+                planes = np.frombuffer(expand.decompress(blob), dtype=np.uint8).reshape(SIGNATURE_BYTES, -1)
+                step = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+                step[:, :SIGNATURE_BYTES] = planes.T
+                n, heads = np.frombuffer(ns, dtype=np.int32), np.frombuffer(whos, dtype=np.int64)
+                known, mine = np.split(heads, [len(heads) - len(n)])
+                held = parts.setdefault(p, [])
+                base = sum(len(h[2]) for h in held)
+                held.append((np.cumsum(step.view(np.uint64).ravel(), dtype=np.uint64), np.frombuffer(at, dtype=np.uint16) + np.int64(base), known, np.frombuffer(bits, dtype=np.uint64).reshape(-1, AGREE_BITS // 64)))
+                if len(n):
+                    yield _met(x=mine, n=n, words=np.frombuffer(folded, dtype=np.int64).reshape(-1, SKETCH_WORDS))
+        for p in sorted(parts):
+            yield from _met_in(*map(np.concatenate, zip(*parts.pop(p))), most)
 
     return run
 
 
-#: Bytes of each shingle hash that the last check compares.
-SET_BYTES = 4
+def _met_in(sigs: np.ndarray, at: np.ndarray, whos: np.ndarray, bits: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """What meets among the signatures of one partition: ``at`` says which of ``whos`` a signature is of."""
+    values = np.sort(sigs)  # a signature that one record has is of no use
+    values = values[1:][values[1:] == values[:-1]]
+    if not len(values):
+        return
+    shared = values[np.minimum(np.searchsorted(values, sigs), len(values) - 1)] == sigs
+    sigs, at = sigs[shared], at[shared]
+    whos, first, same = np.unique(whos, return_index=True, return_inverse=True)
+    bits, ids = bits[first], same[at]
+    order = np.lexsort((ids, sigs))
+    sigs, ids = sigs[order], ids[order]
+    new = np.append(True, (sigs[1:] != sigs[:-1]) | (ids[1:] != ids[:-1]))[: len(sigs)]  # copies count once
+    sigs, ids = sigs[new], ids[new]
+    first = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1])[: len(sigs)])
+    size = np.diff(np.append(first, len(sigs)))
+    found, count = [], 0
+    for n in np.unique(size[size > 1]):
+        starts = first[size == n]
+        if n > HOT:
+            for a in starts:
+                for b in range(a, a + n, 50_000):
+                    who = whos[ids[b : min(b + 50_000, a + n)]]
+                    yield _met(x=who, sig=np.full(len(who), sigs[a], dtype=np.int64))
+            continue
+        upper = np.triu_indices(n, 1)
+        block = max(1, 1_000_000 // len(upper[0]))
+        for c in range(0, len(starts), block):
+            row = starts[c : c + block, None]
+            pair = np.unique(ids[row + upper[0]].ravel() << 32 | ids[row + upper[1]].ravel())  # ids ascend within a signature
+            differ = np.bitwise_count(bits[pair >> 32] ^ bits[pair & 0xFFFFFFFF]).sum(axis=1)
+            found.append(pair[differ <= most])
+            count += len(found[-1])
+            if count > 2_000_000:
+                pair = np.unique(np.concatenate(found))
+                yield _met(x=whos[pair >> 32], y=whos[pair & 0xFFFFFFFF])
+                found, count = [], 0
+    if found:
+        pair = np.unique(np.concatenate(found))
+        yield _met(x=whos[pair >> 32], y=whos[pair & 0xFFFFFFFF])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        who, texts = _once(batch)
+        for at, shingles, bounds in sets_of(texts):
+            sets = [packed_set(shingles[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(who[at], pa.int64()), pa.array(sets, pa.binary())], ["who", "shingles"])
 
 
-def _verify(threshold: float):
-    kind = np.uint32 if SET_BYTES == 4 else np.uint64
+def packed_set(shingles: np.ndarray) -> bytes:
+    """The upper SET_BYTES bytes of each hash of a sorted set; still sorted, each once."""
+    upper = shingles >> np.uint64(64 - 8 * SET_BYTES)
+    if len(upper) > 1 and not (upper[1:] != upper[:-1]).all():
+        upper = np.unique(upper)
+    return upper.view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
+
+def unpacked_set(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // SET_BYTES, 8), dtype=np.uint8)
+    out[:, :SET_BYTES] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, SET_BYTES)
+    return out.view(np.uint64).ravel()
+
+
+def shared_size(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values have in common."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
+
+def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, last, a = [], None, None
             for x, y in zip(batch.column("x_set").to_pylist(), batch.column("y_set").to_pylist()):
-                a, b = np.frombuffer(x, dtype=kind), np.frombuffer(y, dtype=kind)
-                both = len(np.intersect1d(a, b, assume_unique=True))
+                if x is not last:
+                    last, a = x, unpacked_set(x)
+                b = unpacked_set(y)
+                both = shared_size(a, b)
                 keep.append(both >= threshold * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _chain(budget: Column, differ: list[Column]) -> Column:
-    """Whether some chain of CHAIN consecutive segments of the ring keeps each prefix within its share of the budget."""
+def _pigeonring(threshold: float):
+    """Keep the candidates that pass the ring and the full Hamming check. Columns x, y, x_n, y_n, x_w.., y_w.."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("x_n").to_numpy().astype(np.int64) + batch.column("y_n").to_numpy()
+            keep = ring_passes(
+                np.stack([batch.column(f"x_{w}").to_numpy() for w in SKETCH]),
+                np.stack([batch.column(f"y_{w}").to_numpy() for w in SKETCH]),
+                np.floor(n * ((1 - threshold) / (1 + threshold)) + 1e-9),
+            )
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def ring_passes(x: np.ndarray, y: np.ndarray, budget: np.ndarray) -> np.ndarray:
+    """For each column of two sketches: does some chain of CHAIN consecutive segments of the ring keep each prefix within
+    its proportional share of the budget, and the whole the budget?"""
+    differ = np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64)
     m = len(differ)
-    starts = []
+    found = np.zeros(differ.shape[1], dtype=bool)
     for i in range(m):
-        total, within = None, None
-        for k in range(CHAIN):
-            total = differ[(i + k) % m] if total is None else total + differ[(i + k) % m]
-            ok = total * m <= budget * (k + 1)
-            within = ok if within is None else within & ok
-        starts.append(within)
-    found = starts[0]
-    for s in starts[1:]:
-        found = found | s
-    return found
+        within, total = np.ones_like(found), np.zeros(differ.shape[1], dtype=np.int64)
+        for k in range(min(CHAIN, m)):
+            total = total + differ[(i + k) % m]
+            within &= total * m <= budget * (k + 1)
+        found |= within
+    return found & (differ.sum(axis=0) <= budget)
 
 
 def near_duplicates(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(id_a, id_b) of all records (id STRING, text STRING) with a shingle similarity of ``threshold`` or more, the smaller id first."""
     spark = records.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = records.select("id", "text").where("text IS NOT NULL AND id IS NOT NULL")
-    # copies of a text share its print; 32-bit handles serve only to find candidates: where two texts share one, both are looked at
-    text_print = F.xxhash64("text")
-    members = source.select("id", text_print.alias("print")).distinct()
-    reps = source.select(F.hash("text").alias("who"), "text", text_print.alias("print"))
-
-    counts = reps.select("text").mapInArrow(_bins, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).persist()
-    total = sum(r["n"] for r in counts.where("bin = -1").collect())
-    common = np.zeros(BINS, dtype=bool)
-    common[[r["bin"] for r in counts.where(F.col("bin") >= 0).where(F.col("n") > max(total / COMMON, COMMON_LEAST)).collect()]] = True
-    counts.unpersist()
-
-    packed = reps.select("who", "text").mapInArrow(_pack(common, parts), "part int, sigs binary, ids binary")
-    met = written(packed.repartitionById(parts, "part").mapInArrow(_meet, "pair bigint, sig bigint, who int"), "p1-met")
-    # a pair that shares several hot signatures is made at the least of them only; a record has at most 2 x BANDS + WIDE_BANDS of them
-    hot = met.where("pair IS NULL").select("sig", "who").distinct()
-    hot = hot.join(hot.groupBy("who").agg(F.collect_set("sig").alias("all")), "who")
-    shared = hot.alias("a").join(hot.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.who") < F.col("b.who")))
-    hot_pairs = shared.where(F.col("a.sig") == F.array_min(F.array_intersect("a.all", "b.all"))).select(F.shiftleft(F.col("a.who").cast("bigint"), 32).bitwiseOR(F.col("b.who").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))).alias("pair"))
-    pairs = met.where("pair IS NOT NULL").select("pair").unionByName(hot_pairs).distinct()
-    pairs = pairs.select(F.shiftright("pair", 32).cast("int").alias("x"), F.expr("int(shiftright(shiftleft(pair, 32), 32))").alias("y"))
-
-    words = [f"w{k}" for k in range(SKETCH_WORDS)]
-    folded = reps.mapInArrow(_sketches, "who int, print bigint, n int, " + ", ".join(f"{w} bigint" for w in words)).distinct()
-    left = folded.select(F.col("who").alias("x"), F.col("n").alias("x_n"), *(F.col(w).alias(f"x_{w}") for w in words))
-    right = folded.select(F.col("who").alias("y"), F.col("n").alias("y_n"), *(F.col(w).alias(f"y_{w}") for w in words))
-    near = pairs.join(left, "x").join(right, "y")
-    differ = [F.bit_count(F.col(f"x_{w}").bitwiseXOR(F.col(f"y_{w}"))) for w in words]
-    budget = F.floor((F.col("x_n") + F.col("y_n")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
-    whole = differ[0]
-    for d in differ[1:]:
-        whole = whole + d
-    near = written(near.where(_chain(budget, differ)).where(whole <= budget).select("x", "y").distinct(), "p1-near")
-
-    # only sets that are still wanted are moved: a bitmap of bounded size says which (a wrong hit costs a row, no result)
-    sets = reps.mapInArrow(_sets(_bitmap(near, total)), "who int, print bigint, shingles binary").distinct()
-    one = sets.select(F.col("who").alias("x"), F.col("print").alias("a"), F.col("shingles").alias("x_set"))
-    two = sets.select(F.col("who").alias("y"), F.col("print").alias("b"), F.col("shingles").alias("y_set"))
-    similar = near.join(one, "x").join(two, "y").select("a", "b", "x_set", "y_set").mapInArrow(_verify(threshold), "a bigint, b bigint")
-
-    ids = members.select(F.col("id").alias("id_a"), F.col("print").alias("a"))
-    others = members.select(F.col("id").alias("id_b"), F.col("print").alias("b"))
-    across = similar.join(ids, "a").join(others, "b").select("id_a", "id_b")
-    copies = ids.join(others, F.col("a") == F.col("b")).where("id_a < id_b")
-    copies = copies.join(folded.select(F.col("print").alias("a")), "a", "left_semi").select("id_a", "id_b")
-    return across.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).where("id_a < id_b").unionByName(copies).distinct()
-
-
-def _bitmap(near: DataFrame, total: int) -> np.ndarray:
-    """The handles in ``near`` as a bitmap of 8 bits a record, 64 KB to 4 MB, put together from at most 16 parts."""
-    bits = 1 << min(max(total * 8, 1 << 19).bit_length(), 25)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(bits // 8, dtype=np.uint8)
-        for batch in batches:
-            for c in (0, 1):
-                slot = np.unique(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) % bits)
-                np.bitwise_or.at(out, slot >> 3, np.left_shift(1, slot & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["bits"])
-
-    whole = np.zeros(bits // 8, dtype=np.uint8)
-    for row in near.coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
-        whole |= np.frombuffer(row["bits"], dtype=np.uint8)
-    return whole
+    handle = F.xxhash64("text")  # copies of a text share it
+    reps = source.select(handle.alias("who"), "text")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-records.select("id").count() // PARTITION_RECORDS))
+
+    packed = reps.mapInArrow(_pack(parts), "part int, sigs binary, at binary, whos binary, ns binary, words binary, bits binary")
+    schema = "x bigint, y bigint, sig bigint, n int, " + ", ".join(f"{w} bigint" for w in SKETCH)
+    met = written(packed.repartitionById(parts, "part").mapInArrow(_meet(threshold), schema), "p1-met")
+    hot = pairs_within(met.where("sig IS NOT NULL").select("sig", "x").distinct(), ["sig"], "x", HOT).select(F.col("x_a").alias("x"), F.col("x_b").alias("y"))
+    pairs = met.where("y IS NOT NULL").select("x", "y").unionByName(hot).distinct()
+
+    folded = met.where("n IS NOT NULL").select("x", "n", *SKETCH).dropDuplicates(["x"])
+    for side in ("x", "y"):
+        pairs = pairs.join(folded.select(F.col("x").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("n", *SKETCH))), side)
+    near = written(pairs.mapInArrow(_pigeonring(threshold), "x bigint, y bigint"), "p1-near")
+
+    wanted = near.select(F.explode(F.array("x", "y")).alias("who")).distinct()
+    sets = reps.join(wanted, "who", "left_semi").mapInArrow(_sets, "who bigint, shingles binary").dropDuplicates(["who"])
+    similar = near.join(sets.select(F.col("who").alias("y"), F.col("shingles").alias("y_set")), "y").join(sets.select(F.col("who").alias("x"), F.col("shingles").alias("x_set")), "x")
+    similar = similar.select("x", "y", "x_set", "y_set").mapInArrow(_verify(threshold), "x bigint, y bigint")
+
+    members = source.select("id", handle.alias("who")).distinct()
+    ids = members.join(similar.select(F.col("x").alias("who"), "y"), "who").select(F.col("id").alias("a"), F.col("y").alias("who"))
+    across = ids.join(members, "who").select("a", F.col("id").alias("b"))
+    copies = members.join(folded.select(F.col("x").alias("who")), "who", "left_semi")
+    copies = pairs_within(copies, ["who"], "id", HOT).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    # an id that comes with two texts could pair with itself or twice
+    return across.where("a <> b").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).unionByName(copies.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))).distinct()

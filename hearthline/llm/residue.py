@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.near_duplicates import _split_mix
+from hearthline.llm.hashing import split_mix as _split_mix
 from hearthline.session import written
 
 SHINGLE, SIMILARITY, BITS = 5, 0.8, 3

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from hearthline.llm import addresses, names, near_duplicates, nearest_time, queries
+from hearthline.llm import addresses, hashing, names, near_duplicates, nearest_time, queries
 
 
 def shingles(text):
@@ -76,13 +76,56 @@ def test_letters_of_a_hot_drive_with_own_paragraphs_meet(spark):
     assert got <= want and len(got) >= 0.999 * len(want)
 
 
+def test_a_drive_above_a_twentieth_with_long_own_parts_is_found_whole(spark):
+    """8 % of the records share a letter of 110 words and have 32 own words each."""
+    base = " ".join(f"w{i}" for i in range(110))
+    rows = [(f"d{k:03d}", " ".join([base, *(f"own{k}x{i}" for i in range(32))])) for k in range(120)]
+    rows += [(f"o{k:04d}", " ".join(f"o{k}x{i}" for i in range(40))) for k in range(1380)]
+    want = set(combinations([i for i, _ in rows[:120]], 2))
+    got = {(r.id_a, r.id_b) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "id string, text string")).collect()}
+    assert got <= want and len(got) >= 0.99 * len(want)
+
+
+def test_copies_of_a_third_of_all_rows_pair_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "HOT", 7)
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(f"c{k:02d}", text) for k in range(30)] + [(f"o{k}", f"{k} " * 3 + " ".join(f"o{k}x{i}" for i in range(40))) for k in range(60)]
+    got = [(r.id_a, r.id_b) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "id string, text string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == set(combinations([f"c{k:02d}" for k in range(30)], 2))
+
+
 def test_folding_never_adds_differences():
     rnd = np.random.default_rng(1)
     for _ in range(50):
         pool = rnd.integers(0, 2**63, 300, dtype=np.uint64)
         a, b = np.unique(pool[:200]), np.unique(pool[rnd.integers(0, 150) :])
-        x = near_duplicates.sketch(a) ^ near_duplicates.sketch(b)
-        assert sum(bin(int(v) & (2**64 - 1)).count("1") for v in x) <= len(np.setxor1d(a, b))
+        x, y = near_duplicates.sketches(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
+        differ = len(np.setxor1d(a, b))
+        assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= differ
+        # pairs within the budget always pass the ring
+        assert near_duplicates.ring_passes(x[:, None], y[:, None], np.array([float(differ)]))[0]
+
+
+def test_words_hash_alike_however_they_are_written():
+    (_, h, b), = hashing.word_hashes(["Red CAFÉ, n_1x–Ž", "red café n 1X ž", None, "", "ΟΔΟΣ οδος", "red"])
+    rows = [h[i:j].tolist() for i, j in zip(b[:-1], b[1:])]
+    assert rows[0] == rows[1] and len(rows[0]) == 5 and rows[2] == rows[3] == [] and rows[4][0] == rows[4][1] and rows[5] == rows[0][:1]
+    (_, h, b), = hashing.word_hashes(["page 12 of 3x45", "page 7 of 0x9"], fold_digits=True)
+    assert h[: b[1]].tolist() == h[b[1] :].tolist()
+    long = " ".join(f"word{i}" for i in range(60_000))
+    got = list(hashing.word_hashes(["a b", long, "a b"]))
+    assert len(got) == 3 and len(got[1][1]) == 60_000 == len(set(got[1][1].tolist())) and got[0][1].tolist() == got[2][1].tolist()
+
+
+def test_shingles_against_brute_force():
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 40, 200)]
+    (_, h, b), = hashing.word_hashes(texts)
+    for size in (3, 5):
+        x, cut = hashing.shingled(h, b, size)
+        want = [{tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if (w := t.split()) else set() for t in texts]
+        assert np.diff(cut).tolist() == [len(s) for s in want]
+        assert all((np.diff(x[i:j].astype(object)) > 0).all() for i, j in zip(cut[:-1], cut[1:]))
 
 
 def test_nearest_in_time_against_brute_force(spark):
