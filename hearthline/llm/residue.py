@@ -1,28 +1,38 @@
 """Template residue and error-page text: detect documents that hold no real content, or fields left unfilled.
 
-1. One Arrow pass over the whole texts labels what is certain (the trusted labels) and computes for every document a
-   64-bit SimHash over the five-word shingles of its normalised text (lower case, digits folded).
-2. Exact copies after normalisation share one representative, so a group of copies, however large, is one row.
-3. Representatives are filed in partitioned SimHash tables: the 64 bits fall into 6 blocks and each table is keyed by 3
-   of them (20 tables), so any two hashes within 3 bits meet in at least one table. Most pairs of a similarity of 0.8
-   are further apart than that, so representatives are also filed by BANDS keys of ROWS minimum hashes of their
-   shingles each: a pair at exactly 0.8 shares a key in 99.99 % of cases, a more similar one more often.
-4. Trusted labels spread through the connected components of near-duplicates: the labelled frontier is joined with the
-   tables (candidates within Hamming distance 3) and with the keys, candidates are verified by the Jaccard similarity of
-   their shingles (>= 0.8), and newly labelled representatives form the next frontier until none is left. Only labels of documents that are
-   residue as a whole spread; a placeholder inside a real letter says nothing about a letter like it.
-
-Each round writes its frontier to the shared folder, so lineage stays short and lost executors do no harm. Only labels
-of the frontier travel; no links, components or fingerprints reach the driver.
-
-Defined results: null, empty and blank texts are no residue; one label per document, in the order error_page,
-script_notice, filler, placeholder; repeated doc_ids give one row; an empty table gives an empty result.
+Trusted labels come from few, general signs only: wording that any error page, script demand, dummy text or template
+uses. From there they spread, by what the corpus itself shows:
+
+1. Words of dummy text. Words that keep company with the standard dummy words (in the same sentence) and are rarely met
+   elsewhere are dummy words too; counts are taken over all documents.
+2. Wording of error pages and script demands. A document that holds little beside the sign is trusted. Runs of three
+   words that trusted documents have in common are residue wording (unless mostly met in documents that mention such a
+   sign among real text); a document with a sign and little beside such wording is trusted as well, and so on until
+   nothing changes.
+3. Near-duplicates. Exact copies after normalisation (lower case, runs of digits folded) share one representative.
+   Representatives are filed in partitioned SimHash tables over five-word shingles: the 64 bits fall into 6 blocks and
+   each table is keyed by 3 of them (20 tables), so any two hashes within 3 bits meet in at least one table. Most pairs
+   of a similarity of 0.8 are further apart, so representatives are also filed by BANDS keys of ROWS minimum hashes
+   each: a pair at exactly 0.8 shares a key in 99.99 % of cases. Candidates of the tables are verified by Hamming
+   distance, all candidates by the Jaccard similarity of their shingles (0.8 or more). Trusted labels spread through the
+   connected components of these links: the labelled frontier is joined, newly labelled representatives form the next
+   frontier, until none is left. Only labels of documents that are residue as a whole spread; a placeholder inside a
+   real letter says nothing about a letter like it.
+
+Each round writes its frontier to the shared folder, so lineage stays short and lost executors do no harm. No links,
+components or fingerprints reach the driver; of dummy words at most DUMMY_SHARE travel, as each makes up at least
+1 in DUMMY_SHARE of the words they are found among.
+
+Defined results: null, empty and blank texts are no residue; texts of any length are treated whole; one label per
+document, in the order error_page, script_notice, filler, placeholder; repeated doc_ids give one row; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -31,221 +41,271 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.hashing import split_mix as _split_mix
+from hearthline.llm.hashing import choices, keys_of, least_hashes, shingled, split_mix, word_hashes
 from hearthline.session import written
 
 SHINGLE, SIMILARITY, BITS = 5, 0.8, 3
 BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 TABLES = list(combinations(range(6), 3))
 BANDS, ROWS = 24, 5
-MULTIPLY = (_split_mix(BANDS * ROWS, 61) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-ADD = (_split_mix(BANDS * ROWS, 67) >> np.uint64(32)).astype(np.uint32)
-BAND_SALT = _split_mix(BANDS, 71)
-
-#: Words that dummy text is set in.
-FILLER_WORDS = frozenset(
-    """lorem ipsum dolor dolen sit sita amet consectetur conset adipiscing aliquen elit elitra sed do eiusmod tempor tempora incididunt ut
-    labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat
-    duis duisem aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non
-    proident sunt culpa qui officia deserunt mollit mollis anim id est laborum sempra pretor quorit lavende varimus nusquam facil vestim
-    ornatu""".split()
-)
-#: Short words of the list that are also words of ordinary languages: they count inside a run, but don't make one.
-COMMON_WORDS = frozenset("sed do ut et ad in ex ea eu non id est qui sit sunt".split())
-FILLER_PHRASES = re.compile(
-    r"\b(?:(?:body text[ .]*){3,}|(?:test ){2,}test\b|(?:asdf[ ;]*){2,}|asdf asdf|x{3,}(?: +x{3,}){2,}|your (?:paragraph|text|content) goes here|"
-    r"sample text for this section|this is (?:dummy|placeholder|filler) (?:copy|text)|(?:dummy|filler) (?:copy|text) to show|"
-    r"heading one\W+subheading|draft filler|replace before publishing|the quick brown fox jumps over)",
+BAND_SALT, PICK = split_mix(BANDS, 71), choices(BANDS, ROWS, 3000)
+LABELS = ("error_page", "script_notice", "filler", "placeholder")
+
+#: The words of the standard dummy text that no ordinary language uses.
+DUMMY_WORDS = frozenset("lorem ipsum dolor amet consectetur adipiscing eiusmod incididunt labore dolore aliqua veniam nostrud exercitation ullamco laboris aliquip consequat reprehenderit voluptate cillum fugiat pariatur excepteur occaecat cupidatat proident deserunt mollit laborum".split())
+#: Short words of it that are also words of ordinary languages: they count inside a run, but don't make one.
+COMMON_WORDS = frozenset("sit elit sed do tempor ut et magna enim ad minim quis nisi ex ea commodo duis aute irure in velit esse eu nulla sint non sunt culpa qui officia anim id est".split())
+#: A word is a dummy word if it is this much more often among dummy words than its share of all its uses, and so frequent there.
+DUMMY_PURITY, DUMMY_LEAST, DUMMY_SHARE = 0.2, 3, 2000
+#: A run of dummy words: how many, how many of them that no ordinary language uses, strangers allowed in between.
+RUN_WORDS, RUN_RARE, RUN_MISS = 6, 3, 1
+DUMMY_PHRASES = re.compile(
+    r"\b(?:(?:body text[ .]*){3,}|(?:test ){2,}test\b|(?:asdf[ ;]*){2,}|x{3,}(?: +x{3,}){2,}|your (?:paragraph|text|content) goes here|(?:sample|dummy|filler|placeholder) (?:text|copy)\b(?! (?:where|in|on|instead|that))|"
+    r"(?:text|content) goes here|type (?:[a-z]+ ){1,3}in this (?:box|field)|heading one\W+subheading|draft filler|replace before publishing|the quick brown fox jumps over)",
     re.I,
 )
-#: Field names that templates of letters use.
-FIELDS = (
-    r"(?:(?:your|my|insert|the|full|first|last|middle)[ _]){0,2}(?:name|address|date|hearing[ _]date|meeting[ _]date|neighbou?rhood|organi[sz]ation|planner|district|phone|"
-    r"phone[ _]number|zip|zip[ _]code|city|state|email|e-mail|commissioner|first[ _]name|last[ _]name|full[ _]name|your[ _]name|case[ _]number|case[ _]no|project|project[ _]name|"
-    r"project[ _]address|reason|reasons?[ _]for[ _](?:opposing|supporting|writing)|title|signature|company|street|subject|position|item[ _]number|salutation|recipient|sender)"
+DUMMY_HINTS = ("body text", "test test", "asdf", "xxx", "goes here", "in this box", "in this field", "sample text", "sample copy", "dummy", "placeholder", "filler", "heading one", "replace before", "quick brown fox")
+#: Nouns that name a field of a template.
+FIELD = (
+    r"(?:name|address|date|neighbou?rhood|organi[sz]ation|planner|district|phone|zip|code|city|state|e-?mail|commissioner|number|case|project|reasons?|title|signature|company|street|subject|position|salutation|recipient|sender|"
+    r"reasons?[ _]for[ _][a-z]+)"
 )
+NAMED = r"(?:(?!(?:no|wrong|unknown|illegible|without|missing|same|sic|not|see|is|was|the same)\b)[A-Za-z]+[ _]){0,3}" + FIELD + r"(?:[ _](?:no|line|here))?"
 ANY = r"[A-Za-z][A-Za-z0-9]*(?:[ _.\-][A-Za-z0-9]+){0,5}"
 PLACEHOLDER = re.compile(
     r"\{\{[ #/]*" + ANY + r" *\}\}|\$\{ *" + ANY + r" *\}|<<+ *" + ANY + r" *>>+|\[\[ *" + ANY + r" *\]\]|<%=? *" + ANY + r" *%>|\*\| *" + ANY + r" *\|\*|@@" + ANY + r"@@|##" + ANY + r"##|"
-    r"\[ *(?:insert|enter|add|type|your|fill in) [A-Za-z _\-]{2,40}\]|\( *(?:insert |enter )?your [A-Za-z _\-]{2,40} (?:goes )?here *\)|"
-    r"\[ *" + FIELDS + r" *\]|\{ *" + FIELDS + r" *\}|< *" + FIELDS + r" *>|%" + FIELDS + r"%|__+" + FIELDS + r"__+",
-    re.I,
-)
-OPENING = re.compile(r"\{|\$\{|<|\[|\*\||@@|##|%(?=\w)|__+|\(")
-#: An error message, and what error pages say besides.
-ERROR = re.compile(
-    r"\b(?:http (?:error|status)(?: code)? ?\d{3}|\d{3} (?:bad gateway|not found|forbidden|gateway time-?out|internal server error|service unavailable|unauthorized|bad request|too many requests|gone)|"
-    r"(?:page|file|document|resource|site) not found|p[áa]gina no encontrada|service (?:is )?(?:temporarily )?unavailable|(?:internal )?server error(?: in '[^'\n]*' application)?|"
-    r"database (?:connection|error)(?: failed)?|invalid viewstate|(?:your )?session (?:has )?(?:expired|timed out)|sorry, something went wrong|something went wrong|access (?:is )?denied|"
-    r"(?:request|connection|gateway) timed? ?-?out|too many requests|(?:document|page|file) you requested (?:could not|cannot) be (?:located|found)|permission denied|fatal error|unhandled exception)",
-    re.I,
-)
-ERROR_REST = re.compile(
-    r"(?:http:)?//\S+|nginx/[\d.]+|apache/[\d.]+|at [\w.]+\([\w.]+:\d+\)|(?:error code|reference|correlation id)\W*[\d.\-]+|\(code \d+\)|contact the webmaster if the problem persists|"
-    r"please try again in a few minutes|return to the home page or use the search box|log in again to continue|you do not have permission to view this directory|the upstream host closed the connection|"
-    r"the resource \S+ does not exist on this server|la direcci[óo]n \S+ no existe|search our archive|site map|skip to main content|\bmenu\b|\bsearch\b|\bhelp\b|home \| hearings \| contact|port alder hearing archive|we(?:'|’)re|\bapplication\b|\byour\b|\bthe\b",
-    re.I,
-)
-SCRIPT = re.compile(
-    r"(?:enable|activate|turn on|allow|activ[ea]r?) (?:java ?script|scripts?|scripting)|java ?script (?:appears to be|is|must be|seems) (?:disabled|off|required|enabled|turned off)|"
-    r"requires? (?:java ?)?scripts?\b|scripts? (?:are|is) (?:turned off|disabled|required)|scripting (?:may be|is) blocked|noscript|browser does not support|(?:unsupported|outdated) browser|"
-    r"cookies and scripting must be|checking your browser|works best with scripts",
-    re.I,
-)
-SCRIPT_REST = re.compile(
-    r"(?:please|you need to|to (?:view|run|see) (?:this|the) (?:page|app|content|comments|document)|supported browsers are listed here|learn how in the help pages|one moment please|turn them on and reload|"
-    r"if nothing appears|by your settings|content is rendered on the client only|the features needed to display this document|the hearing viewer cannot start|before you continue to the archive|"
-    r"we have detected that|in this browser|must be allowed to see comments|para ver el contenido|this (?:application|site|page)|skip to main content|menu|search(?: our archive)?|loading|help|\(code \d+\)|port alder hearing archive|home|hearings|contact|site map|your|scripts?|be)\b|\(code \d+\)",
+    r"\[ *(?:insert|enter|add|type|your|fill in) [A-Za-z _\-]{2,40}\]|\( *(?:insert |enter )?your [A-Za-z _\-]{2,40} (?:goes )?here *\)|\{ *[A-Za-z]+(?:_[A-Za-z]+)+ *\}|"
+    r"\[ *" + NAMED + r" *\]|\{ *" + NAMED + r" *\}|< *" + NAMED + r" *>|[«‹] *" + NAMED + r" *[»›]|%" + NAMED + r"%|__+" + NAMED + r"__+",
     re.I,
 )
+OPENING = re.compile(r"\{|\$\{|<|«|‹|\[|\*\||@@|##|%(?=\w)|__+|\(")
+#: Signs of an error page and of a demand for scripts, on text whose runs of digits are folded.
+SIGNS = {
+    "error_page": (
+        re.compile(
+            r"\b(?:http (?:error|status)(?: code)? ?0|0 (?:bad gateway|not found|forbidden|gateway time-?out|internal server error|service unavailable|unauthorized|bad request|too many requests|gone)|"
+            r"(?:page|file|document|resource|site) not found|p[áa]gina no encontrada|service (?:is )?(?:temporarily |currently )?unavailable|(?:internal )?server error(?: in '[^'\n]*' application)?|"
+            r"database (?:connection|error)(?: failed)?|invalid viewstate|(?:your )?session (?:has )?(?:expired|timed out)|something went wrong|access (?:is )?denied|"
+            r"(?:request|connection|gateway) timed? ?-?out|too many requests|(?:document|page|file) you requested (?:could not|cannot) be (?:located|found)|permission denied|fatal error|unhandled exception)",
+            re.I,
+        ),
+        ("http", "not found", "gateway", "forbidden", "unavailable", "server error", "fatal error", "unauthorized", "bad request", " gone", "database", "viewstate", "session", "went wrong", "access denied", "access is denied", "permission denied", "timed out", "timed-out", "time out", "time-out", "timeout", "timedout", "too many", "could not be", "cannot be", "no encontrada", "exception"),
+    ),
+    "script_notice": (
+        re.compile(
+            r"(?:enable|activate|turn on|allow|activ[ea]r?) (?:java ?script|scripts?|scripting)|java ?script (?:appears to be|is|must be|seems) (?:disabled|off|required|enabled|turned off)|"
+            r"requires? (?:java ?)?scripts?\b|scripts? (?:are|is) (?:turned off|disabled|required)|scripting (?:may be|is) blocked|noscript|browser does not support|(?:unsupported|outdated) browser|"
+            r"cookies and scripting must be|checking your browser",
+            re.I,
+        ),
+        ("script", "browser", "cookies"),
+    ),
+}
 WORD = re.compile(r"[^\W_]+")
-#: A quick look before the patterns are tried: without any of these they can't match.
-ERROR_HINTS = ("http", "not found", "gateway", "forbidden", "unavailable", "server error", "fatal error", "unauthorized", "bad request", " gone", "database", "viewstate", "session", "went wrong", "access denied", "access is denied", "permission denied", "timed out", "timed-out", "time out", "time-out", "timeout", "timedout", "too many", "could not be", "cannot be", "no encontrada", "exception")
-FILLER_HINTS = ("body text", "test test", "asdf", "xxx", "goes here", "sample text", "dummy", "placeholder", "filler", "heading one", "replace before", "quick brown fox")
-SCRIPT_HINTS = ("script", "browser", "cookies")
-#: Words that may be left of an error page or script notice when all known wording is taken out.
-REST_WORDS, REST_SHARE = 8, 0.34
-
-
-def _filler(low: str) -> bool:
-    if any(h in low for h in FILLER_HINTS) and FILLER_PHRASES.search(low):
-        return True
-    if "lorem" not in low and sum(w in low for w in ("sempra", "varimus", "nusquam", "lavende", "aliqu", "tempor", "conset", "consect", "vestim", "duis", "elitra")) < 2:
-        return False
+#: The same, but scripts that don't set words apart give a word for each character.
+UNIT = re.compile(r"[\u2e80-\u9fff\uac00-\ud7af]|[^\W_\u2e80-\u9fff\uac00-\ud7af]+")
+DIGITS = re.compile(r"\d+")
+SENTENCE = re.compile(r"[\n.!?;|]+")
+#: Different words that a document may hold beside a sign and residue wording to be trusted.
+REST_WORDS = 12
+#: Wording counts as residue if so many trusted documents have it, and so large a share of those with a sign that have it.
+WORDING, WORDING_DOCUMENTS, WORDING_SHARE = 3, 3, 0.05
+
+
+def signs_in(text: str, low: str) -> dict[str, tuple[list[str], list[bool]]]:
+    """Label -> (words, whether each belongs to a sign) for the signs that occur in a text."""
+    out, folded = {}, None
+    for label, (sign, hints) in SIGNS.items():
+        if any(h in low for h in hints):
+            folded = DIGITS.sub("0", low) if folded is None else folded
+            spans = [m.span() for m in sign.finditer(folded)]
+            if spans:
+                words, inside, k = [], [], 0
+                for m in UNIT.finditer(folded):
+                    while k < len(spans) and spans[k][1] <= m.start():
+                        k += 1
+                    words.append(m[0])
+                    inside.append(k < len(spans) and spans[k][0] < m.end())
+                out[label] = words, inside
+    return out
+
+
+def has_run(words: list[str], dummy: frozenset[str]) -> bool:
     run = rare = miss = 0
-    for w in WORD.findall(low):
-        if w in FILLER_WORDS:
+    for w in words:
+        if w in dummy or w in COMMON_WORDS:
             run += 1
             rare += w not in COMMON_WORDS
             miss = 0
-            if run >= 6 and rare >= 3:
+            if run >= RUN_WORDS and rare >= RUN_RARE:
                 return True
         else:
             miss += 1
-            if miss > 1:
+            if miss > RUN_MISS:
                 run = rare = miss = 0
     return False
 
 
-def label_of(text: str | None) -> tuple[str | None, bool]:
-    """(residue or None, whether the whole document is residue) of one text, by the trusted rules."""
+def label_of(text: str | None, dummy: frozenset[str] = DUMMY_WORDS) -> tuple[str | None, bool]:
+    """(trusted label or None, whether the whole document is residue) of one text, by its own signs alone."""
     if not text or not text.strip():
         return None, False
     low = text.lower()
-    for label, cue, rest, hints in (("error_page", ERROR, ERROR_REST, ERROR_HINTS), ("script_notice", SCRIPT, SCRIPT_REST, SCRIPT_HINTS)):
-        if any(h in low for h in hints) and cue.search(text):
-            total = len(WORD.findall(text))
-            left = len(WORD.findall(rest.sub(" ", cue.sub(" ", text))))
-            if left <= min(REST_WORDS, max(4, REST_SHARE * total)):
-                return label, True
-    if _filler(low):
-        words = WORD.findall(low)
-        return "filler", sum(w in FILLER_WORDS for w in words) >= 0.6 * len(words)
+    for label, (words, inside) in signs_in(text, low).items():
+        if len({w for w, i in zip(words, inside) if not i}) <= REST_WORDS:
+            return label, True
+    words = None
+    phrase = any(h in low for h in DUMMY_HINTS) and DUMMY_PHRASES.search(low)
+    if phrase or len(dummy.intersection(words := WORD.findall(low))) >= 2 and has_run(words, dummy):
+        words = words or WORD.findall(low)
+        return "filler", sum(w in dummy or w in COMMON_WORDS for w in words) >= 0.6 * len(words)
     if any(PLACEHOLDER.match(text, m.start()) for m in OPENING.finditer(text)):
         return "placeholder", False
     return None, False
 
 
-def normal_words(text: str) -> list[str]:
-    return WORD.findall(re.sub(r"\d+", "0", text.lower()))
-
-
-def shingles(words: list[str]) -> set[str]:
-    return {" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
-
-
-class _Words(dict):
-    """What lies between blanks -> hashes of its normalised words; forgotten at a bound."""
-
-    def __missing__(self, run: str) -> tuple[int, ...]:
-        out = tuple(int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) for w in normal_words(run))
-        if len(run) <= 64:
-            self[run] = out
-        return out
-
-
-_known = _Words()
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    """Hashes of the normalised words of a text, in order."""
-    if len(_known) > 300_000:
-        _known.clear()
-    codes: list[int] = []
-    for run in (text or "").split():
-        codes += _known[run]
-    return np.array(codes, dtype=np.int64).view(np.uint64)
-
-
-def shingle_hashes(h: np.ndarray) -> np.ndarray:
-    """Hashes of the distinct shingles of word hashes."""
-    n = max(1, len(h) - SHINGLE + 1)
-    mixed = np.zeros(n, dtype=np.uint64)
-    for k in range(min(SHINGLE, len(h))):
-        mixed = (mixed ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    mixed = np.unique(mixed * np.uint64(0xBF58476D1CE4E5B9))
-    return mixed ^ (mixed >> np.uint64(32))
-
-
-def simhash(h: np.ndarray) -> int:
-    """64-bit SimHash of the shingles of word hashes, as a signed number."""
-    if not len(h):
-        return 0
-    mixed = shingle_hashes(h)
-    ones = np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(mixed)).view(">i8")[0])
-
-
-def band_keys(h: np.ndarray) -> np.ndarray:
-    """Keys over ROWS minimum hashes each of the shingles of word hashes."""
-    x = (shingle_hashes(h) >> np.uint64(32)).astype(np.uint32)
-    least = np.full(BANDS * ROWS, 0xFFFFFFFF, dtype=np.uint32)
-    for a in range(0, len(x), 10_000):
-        least = np.minimum(least, (x[a : a + 10_000, None] * MULTIPLY + ADD).min(axis=0))
-    least = least.astype(np.uint64).reshape(BANDS, ROWS)
-    s = BAND_SALT
-    for r in range(ROWS):
-        s = (s ^ least[:, r]) * np.uint64(0x9E3779B97F4A7C15)
-        s ^= s >> np.uint64(29)
-    return s.view(np.int64)
-
-
-def _print(words: np.ndarray) -> str:
-    return hashlib.blake2b(words.tobytes(), digest_size=16).hexdigest()
-
-
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words = [w for w in map(word_hashes, batch.column(1).to_pylist()) if len(w)]
-        yield pa.RecordBatch.from_arrays([pa.array([_print(w) for w in words], pa.string()), pa.array([band_keys(w) for w in words], pa.list_(pa.int64()))], ["print", "bands"])
-
-
-def _examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+# ------------------------------------------------------------------ words of dummy text
+
+
+def dummy_words(texts: DataFrame) -> frozenset[str]:
+    """The standard dummy words and those that keep company with them, by counts over all texts of column ``text``."""
+
+    def company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                low = text.lower()
+                if "lorem" in low or "ipsum" in low or sum(w in low for w in DUMMY_WORDS) >= 3:
+                    for sentence in SENTENCE.split(low):
+                        words = WORD.findall(sentence)
+                        seeds = DUMMY_WORDS.intersection(words)
+                        if len(words) >= RUN_WORDS and (len(seeds) >= 3 or "lorem" in seeds or "ipsum" in seeds):
+                            counts.update(w for w in words if w.isalpha())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+    near = texts.mapInArrow(company, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).persist()
+    total = near.agg(F.sum("n")).collect()[0][0] or 0
+    found = {r["word"]: r["n"] for r in near.where(F.col("n") >= max(DUMMY_LEAST, total / DUMMY_SHARE)).collect()}
+    near.unpersist()
+    wanted = sorted(set(found) - DUMMY_WORDS - COMMON_WORDS)
+    if not wanted:
+        return DUMMY_WORDS
+    (_, hashes, bounds), = word_hashes(wanted)
+    alone = np.diff(bounds) == 1
+    order = np.argsort(hashes[bounds[:-1]])
+    keys, place = hashes[bounds[:-1]][order], np.arange(len(wanted))[order]
+    alone = alone[order]
+
+    def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(keys), dtype=np.int64)
+        for batch in batches:
+            for _, h, _ in word_hashes(batch.column(0).to_pylist()):
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                counts += np.bincount(at[keys[at] == h], minlength=len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(counts, pa.int64())], ["at", "n"])
+
+    everywhere = {r["at"]: r["n"] for r in texts.mapInArrow(uses, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    return DUMMY_WORDS | {wanted[k] for k, ok in zip(place.tolist(), alone) if ok and found[wanted[k]] >= DUMMY_PURITY * everywhere.get(k, 0)}
+
+
+# ------------------------------------------------------------------ one pass over the texts
+
+
+def simhashes(shingles: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """64-bit SimHash of each set of shingles, as signed numbers; 0 for an empty set."""
+    out = np.zeros(len(cut) - 1, dtype=np.int64)
+    some = np.flatnonzero(np.diff(cut))
+    for a in range(0, len(some), 256):
+        rows = some[a : a + 256]
+        lo, hi = cut[rows[0]], cut[rows[-1] + 1]
+        bits = np.unpackbits(shingles[lo:hi].view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.add.reduceat(bits, cut[rows] - lo, axis=0, dtype=np.int64)
+        out[rows] = np.packbits((2 * ones > np.diff(cut)[rows][:, None]).astype(np.uint8), axis=1).view(">i8").ravel()
+    return out
+
+
+def _prints(h: np.ndarray, bounds: np.ndarray) -> list[str | None]:
+    """A 128-bit print of the words of each text, in order; None without words."""
+    raw = h.tobytes()
+    return [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).hexdigest() if a < b else None for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+SEEN = "doc_id bigint, label string, pure boolean, print string, simhash bigint, bands array<bigint>, signs array<struct<label: string, words: array<string>, inside: array<boolean>>>"
+_SIGN = pa.struct([("label", pa.string()), ("words", pa.list_(pa.string())), ("inside", pa.list_(pa.bool_()))])
+
+
+def _examine(dummy: frozenset[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            labels, signs = zip(*[(label_of(t, dummy), [{"label": k, "words": w, "inside": i} for k, (w, i) in signs_in(t, t.lower()).items()] if t else []) for t in texts]) if texts else ((), ())
+            prints, hashes, bands = [], [], []
+            for _, h, bounds in word_hashes(texts, fold_digits=True):
+                shingles, cut = shingled(h, bounds, SHINGLE)
+                prints += _prints(h, bounds)
+                hashes.append(simhashes(shingles, cut))
+                bands += list(keys_of(least_hashes(shingles, cut), PICK, BAND_SALT).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x for x, _ in labels], pa.string()), pa.array([x for _, x in labels], pa.bool_()), pa.array(prints, pa.string()), pa.array(np.concatenate(hashes) if hashes else [], pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(list(signs), pa.list_(_SIGN))],
+                ["doc_id", "label", "pure", "print", "simhash", "bands", "signs"],
+            )
+
+    return run
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each text, as bytes."""
     for batch in batches:
-        labels, pure, prints, hashes = [], [], [], []
-        for text in batch.column(1).to_pylist():
-            label, whole = label_of(text)
-            words = word_hashes(text)
-            labels.append(label)
-            pure.append(whole)
-            prints.append(_print(words) if len(words) else None)
-            hashes.append(simhash(words))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(labels, pa.string()), pa.array(pure, pa.bool_()), pa.array(prints, pa.string()), pa.array(hashes, pa.int64())], ["doc_id", "label", "pure", "print", "simhash"]
-        )
+        sets = []
+        for _, h, bounds in word_hashes(batch.column(1).to_pylist(), fold_digits=True):
+            shingles, cut = shingled(h, bounds, SHINGLE)
+            sets += [shingles[a:b].tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the candidates whose texts are similar enough."""
     for batch in batches:
         keep = []
-        for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-            x, y = shingles(normal_words(a)), shingles(normal_words(b))
-            keep.append(len(x & y) >= SIMILARITY * len(x | y))
+        for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
+            a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            keep.append(both >= SIMILARITY * (len(a) + len(b) - both))
         yield batch.select(["print", "label"]).filter(pa.array(keep, pa.bool_()))
 
 
+# ------------------------------------------------------------------ spreading
+
+
+def trusted_by_wording(seen: DataFrame, most_rounds: int = 100) -> DataFrame:
+    """(doc_id, label) of the documents with a sign and little beside signs and residue wording."""
+    signed = seen.select("doc_id", F.explode("signs").alias("s")).select("doc_id", "s.label", "s.words", "s.inside").dropDuplicates(["doc_id", "label"])
+    last = F.size("words") - WORDING
+    grams = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("words", i + 1, WORDING)))).otherwise(F.array(F.xxhash64("words")))
+    signed = written(signed.select("doc_id", "label", "words", "inside", grams.alias("grams")), "p9-signed")
+    units = written(signed.select("doc_id", "label", F.explode(F.array_distinct("grams")).alias("gram")), "p9-wording")
+    words = signed.select("doc_id", "label", F.posexplode(F.arrays_zip("words", "inside")).alias("at", "w")).select("doc_id", "label", "at", "w.words", "w.inside")
+    words = written(words, "p9-words")
+    places = signed.select("doc_id", "label", F.posexplode("grams").alias("at", "gram"))
+    trusted, known = None, -1
+    for _ in range(most_rounds):
+        open_words = words.where("NOT inside")
+        if trusted is not None:
+            wording = units.join(trusted.withColumn("t", F.lit(1)), ["doc_id", "label"], "left").groupBy("label", "gram").agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("n"))
+            wording = wording.where((F.col("t") >= WORDING_DOCUMENTS) & (F.col("t") >= WORDING_SHARE * F.col("n"))).select("label", "gram")
+            covered = places.join(wording, ["label", "gram"]).select("doc_id", "label", F.explode(F.array(*[F.col("at") + k for k in range(WORDING)])).alias("at")).distinct()
+            open_words = open_words.join(covered, ["doc_id", "label", "at"], "left_anti")
+        rest = open_words.groupBy("doc_id", "label").agg(F.count_distinct("words").alias("rest"))
+        much = rest.where(F.col("rest") > REST_WORDS)
+        trusted = written(signed.select("doc_id", "label").join(much, ["doc_id", "label"], "left_anti"), "p9-trusted")
+        now = trusted.count()
+        if now == known:
+            return trusted
+        known = now
+    raise RuntimeError("residue wording did not settle")
+
+
 def _tables(df: DataFrame) -> DataFrame:
     """One row per representative and table: the table's number in the high bits of the key, its three blocks below."""
     block = [F.shiftrightunsigned("simhash", start).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")) for start, width in BLOCKS]
@@ -253,36 +313,43 @@ def _tables(df: DataFrame) -> DataFrame:
     return df.withColumn("key", F.explode(F.array(*keys)))
 
 
-def find_residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rounds: int = 50) -> DataFrame:
+def rank_of(label: str):
+    return F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col(label))
+
+
+def find_residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, residue) of the documents to leave out."""
-    source = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = written(source.mapInArrow(_examine, "doc_id bigint, label string, pure boolean, print string, simhash bigint"), "p9-seen")
-    own = seen.where("label IS NOT NULL").select("doc_id", "label")
-    reps = seen.where("print IS NOT NULL").groupBy("print").agg(F.min_by("label", F.when(F.col("pure"), F.col("label"))).alias("label"), F.max("label").alias("any_label"), F.min("simhash").alias("simhash"), F.min("doc_id").alias("doc_id"))
-    bands = source.mapInArrow(_bands, "print string, bands array<bigint>").dropDuplicates(["print"])
-    reps = written(reps.join(bands, "print"), "p9-reps")
+    source = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
+    seen = written(source.mapInArrow(_examine(dummy_words(source.select("text"))), SEEN), "p9-seen")
+    by_wording = trusted_by_wording(seen).select("doc_id", F.col("label").alias("residue"), F.lit(True).alias("pure"))
+    own = by_wording.unionByName(seen.where("label IS NOT NULL").select("doc_id", F.col("label").alias("residue"), "pure"))
+    own = written(own.groupBy("doc_id").agg(F.min_by(F.struct("residue", "pure"), rank_of("residue")).alias("r")).select("doc_id", "r.*"), "p9-own")
+    return own.select("doc_id", "residue").unionByName(near_labelled(source, seen, own)).dropDuplicates(["doc_id"])
+
+
+def near_labelled(source: DataFrame, seen: DataFrame, own: DataFrame) -> DataFrame:
+    """(doc_id, residue) of the documents without a label of their own that are linked to labelled ones."""
+    reps = seen.where("print IS NOT NULL").select("doc_id", "print", "simhash", "bands").join(own, "doc_id", "left")
+    best = F.min_by("residue", F.when(F.col("pure"), rank_of("residue")))
+    reps = reps.groupBy("print").agg(best.alias("label"), F.max("residue").alias("any"), F.min("simhash").alias("simhash"), F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("doc_id"))
+    reps = written(reps, "p9-reps")
     frontier = reps.where("label IS NOT NULL").select("print", "label", "simhash", "doc_id", "bands")
-    open_reps = reps.where("any_label IS NULL").select("print", "simhash", "doc_id", "bands")
-    spread_labels = frontier.select("print", "label")  # copies of a representative have its label
-    for _ in range(max_rounds):
-        candidates = (
-            _tables(frontier.select("label", "simhash", F.col("doc_id").alias("from")))
-            .withColumnRenamed("simhash", "h")
-            .join(_tables(open_reps.drop("bands")), "key")
-            .where(F.bit_count(F.col("h").bitwiseXOR(F.col("simhash"))) <= BITS)
-            .select("print", "doc_id", "label", "from")
-        )
+    open_reps = reps.where("any IS NULL").select("print", "simhash", "doc_id", "bands")
+    labels = frontier.select("print", "label")  # copies of a representative have its label
+    while True:
+        tables = _tables(frontier.select("label", "simhash", F.col("doc_id").alias("from"))).withColumnRenamed("simhash", "h").join(_tables(open_reps.drop("bands")), "key")
+        candidates = tables.where(F.bit_count(F.col("h").bitwiseXOR(F.col("simhash"))) <= BITS).select("print", "doc_id", "label", "from")
         left = frontier.select("label", F.col("doc_id").alias("from"), F.explode("bands").alias("key"))
         right = open_reps.select("print", "doc_id", F.explode("bands").alias("key"))
-        candidates = candidates.unionByName(left.join(right, "key").select("print", "doc_id", "label", "from")).distinct()
-        texts = candidates.join(source.select(F.col("doc_id"), F.col("text").alias("text_b")), "doc_id").join(source.select(F.col("doc_id").alias("from"), F.col("text").alias("text_a")), "from")
-        found = texts.select("print", "label", "text_a", "text_b").mapInArrow(_similar, "print string, label string").groupBy("print").agg(F.min("label").alias("label"))
+        candidates = written(candidates.unionByName(left.join(right, "key").select("print", "doc_id", "label", "from")).distinct(), "p9-candidates")
+        wanted = candidates.select(F.explode(F.array("doc_id", "from")).alias("doc_id")).distinct()
+        sets = source.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, shingles binary").dropDuplicates(["doc_id"])
+        both = candidates.join(sets.withColumnRenamed("shingles", "set_b"), "doc_id").join(sets.select(F.col("doc_id").alias("from"), F.col("shingles").alias("set_a")), "from")
+        found = both.select("print", "label", "set_a", "set_b").mapInArrow(_similar, "print string, label string").groupBy("print").agg(F.min_by("label", rank_of("label")).alias("label"))
         found = written(found, "p9-round")
         if found.isEmpty():
             break
-        spread_labels = spread_labels.unionByName(found)
+        labels = written(labels.unionByName(found), "p9-labels")
         frontier = written(found.join(open_reps, "print").select("print", "label", "simhash", "doc_id", "bands"), "p9-frontier")
-        open_reps = open_reps.join(found, "print", "left_anti")
-    own = own.unionByName(seen.join(spread_labels.select("print", F.col("label").alias("got")), "print").where("label IS NULL").select("doc_id", F.col("got").alias("label")))
-    rank = F.array_position(F.array(*[F.lit(x) for x in ("error_page", "script_notice", "filler", "placeholder")]), F.col("label"))
-    return own.groupBy("doc_id").agg(F.min_by("label", rank).alias("residue"))
+        open_reps = written(open_reps.join(found, "print", "left_anti"), "p9-open")
+    return seen.select("doc_id", "print").join(labels, "print").join(own, "doc_id", "left_anti").select("doc_id", F.col("label").alias("residue"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,7 +145,12 @@ def test_scans(spark):
         ("  ", None),
         ("Dear {{first name}},\nI support it.", "placeholder"),
         ("Dear [insert date here],", "placeholder"),
-        ("Use set {A, B} of <A-43> [sic] [name withheld] and the figure is 100% wrong", None),
+        ("Dear {salutation_line},", "placeholder"),
+        ("Regards,\n«your_name»", "placeholder"),
+        ("They call it «the wall» and Type something meaningful in this box later.", "filler"),
+        ("They call it «the wall» and want it gone.", None),
+        ("Dear [Recipient Full Name],", "placeholder"),
+        ("Use set {A, B} of <A-43> [sic] [name withheld] [no address] [see Exhibit B] and the figure is 100% wrong", None),
         ("404 Not Found\n\nnginx/1.502", "error_page"),
         ("When I opened the link it said page not found, so I read a paper copy of the whole packet instead and wrote this letter.", None),
         ("Please enable JavaScript to view this page. (code 81)", "script_notice"),
@@ -166,29 +172,28 @@ def test_residue_spreads_to_near_copies_only(spark):
     assert residue.find_residue(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
-def test_residue_spreads_through_the_tables(spark, monkeypatch):
-    """Where the rules know one copy only, its near copies are found by SimHash and similarity."""
-    base = " ".join(f"notice{i}" for i in range(120))
-    near = base.replace("notice60", "notice61")
-    monkeypatch.setattr(residue, "BITS", 64)
-    seen = spark.createDataFrame([(1, base), (2, near), (3, " ".join(f"other{i}" for i in range(120)))], "doc_id bigint, text string")
-    import hearthline.llm.residue as r
+def shingles_of(words):
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
-    real = r._examine
 
-    def marked(batches):
-        import pyarrow as pa
+def spread_from(spark, monkeypatch, rows, trusted):
+    """The documents labelled when only those in ``trusted`` are trusted."""
+    real = residue._examine
+
+    def examine(dummy):
+        def run(batches):
+            for b in real(dummy)(batches):
+                known = [i in trusted for i in b.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(["filler" if k else None for k in known], pa.string()), pa.array(known), *b.columns[3:]], b.schema.names)
 
-        for b in real(batches):
-            ids = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(["error_page" if i == 1 else None for i in ids], pa.string()), pa.array([i == 1 for i in ids]), b.column(3), pa.array([0 for _ in ids], pa.int64())], b.schema.names)
+        return run
 
-    monkeypatch.setattr(r, "_examine", marked)
-    assert {(x.doc_id, x.residue) for x in r.find_residue(seen).collect()} == {(1, "error_page"), (2, "error_page")}
+    monkeypatch.setattr(residue, "_examine", examine)
+    return {r.doc_id for r in residue.find_residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
 
 
-def test_residue_spreads_at_the_stated_similarity(spark, monkeypatch):
-    """With production settings, every page of a similarity of 0.8 or more with a labelled one is found."""
+def test_residue_spreads_at_the_stated_similarity_through_chains(spark, monkeypatch):
+    """With production settings, every page linked to a labelled one by similarities of 0.8 or more is found, and no other."""
     rnd = random.Random(5)
 
     def word():
@@ -198,26 +203,37 @@ def test_residue_spreads_at_the_stated_similarity(spark, monkeypatch):
     for g in range(20):
         base = [word() for _ in range(60)]
         rows.append((g * 10, " ".join(base)))
-        want.add(g * 10)
         for k, places in enumerate(([30], [0], [10, 11], [5, 25, 45]), 1):  # the last one is below 0.8
-            near = [word() if i in places else w for i, w in enumerate(base)]
-            rows.append((g * 10 + k, " ".join(near)))
-            a, b = (residue.shingles(residue.normal_words(" ".join(x))) for x in (base, near))
-            if len(a & b) >= 0.8 * len(a | b):
-                want.add(g * 10 + k)
-    assert len(want) == 80
-    real = residue._examine
-
-    def marked(batches):
-        import pyarrow as pa
-
-        for b in real(batches):
-            ids = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(["error_page" if i % 10 == 0 else None for i in ids], pa.string()), pa.array([i % 10 == 0 for i in ids]), b.column(3), b.column(4)], b.schema.names)
-
-    monkeypatch.setattr(residue, "_examine", marked)
-    got = {r.doc_id for r in residue.find_residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert got == want
+            rows.append((g * 10 + k, " ".join([word() if i in places else w for i, w in enumerate(base)])))
+        chain = list(base)
+        for k in (5, 6, 7):  # each is near the one before, the last is far from the first
+            chain = [word() if i // 2 == k * 3 else w for i, w in enumerate(chain)]
+            rows.append((g * 10 + k, " ".join(chain)))
+    sets = {i: shingles_of(t.split()) for i, t in rows}
+    for g in range(20):
+        group, got = [i for i, _ in rows if i // 10 == g], {g * 10}
+        while more := {i for i in group for j in got if i not in got and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}:
+            got |= more
+        want |= got
+    assert len(want) > 100 and spread_from(spark, monkeypatch, rows, {g * 10 for g in range(20)}) == want
+
+
+def test_simhash_tables_find_what_is_within_three_bits(spark):
+    hashes = [0, 7, 1 << 63, 15, -1, (1 << 40) - 1]
+    df = spark.createDataFrame([(h - (1 << 64) if h >= 1 << 63 else h,) for h in hashes], "simhash bigint")
+    met = residue._tables(df).alias("a").join(residue._tables(df).alias("b"), "key").select(F.col("a.simhash").alias("x"), F.col("b.simhash").alias("y")).distinct().collect()
+    assert {(0, 7), (7, 15), (0, -(1 << 63))} <= {(r.x, r.y) for r in met}
+
+
+def test_words_and_wording_are_learned_from_the_corpus(spark):
+    dummy = ["Lorem ipsum plonk dolor vrang sit quelm.", "Ipsum lorem vrang amet quelm plonk.", "Dolor lorem plonk quelm vrang plonk."]
+    rows = [(i, t) for i, t in enumerate(dummy)] + [(10, "Dear all,\nplonk vrang quelm quelm plonk vrang plonk quelm.\nKind regards")]
+    rows += [(20 + i, f"404 Not Found\nGo back to the start page.{' Now.' if i else ''}") for i in range(4)]
+    rows += [(30, "500 internal server error\nThe upstream relay gave no answer in time today."), (31, "Go back to the start page. 404 not found. Ask the desk clerk upstairs for a printed list of rooms."), (33, "Look around in our big hall. 404 not found. Ask the desk clerk upstairs for a printed list of rooms."), (32, "The form said 404 not found. I walked there and every neighbour of the whole street is against this tower.")]
+    rows += [(40 + i, "The tower is too tall and we are against it, plonk.") for i in range(6)]
+    got = {r.doc_id: r.residue for r in residue.find_residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i for i, x in got.items() if x == "filler"} == {0, 1, 2, 10}
+    assert {i for i, x in got.items() if x == "error_page"} == {20, 21, 22, 23, 30, 31}
 
 
 def test_long_error_pages_and_notices_are_labelled():
