@@ -4,7 +4,8 @@ Both sides are tagged, unioned, partitioned by (entity, time block) and sorted i
 right side is placed ``tolerance`` days before its own day, so when a left record arrives, every right record that can
 match it has been seen, and only right records within the tolerance on either side are held: at most 2 * tolerance + 1
 distinct days, whatever the size of the entity. Time blocks split an entity that holds a large share of all rows; a
-right record is copied into the (at most two, for tolerance <= block) blocks that its window touches.
+right record is copied into the (at most two, for tolerance <= block) blocks that its window touches. Ids stay 64-bit
+integers all the way.
 
 Defined results: rows with a null entity or day match nothing; repeated rows give one row; of right records on one day
 the smallest id counts; of two days equally far away the smaller id wins; an empty side gives an empty result.
@@ -12,10 +13,11 @@ the smallest id counts; of two days equally far away the smaller id wins; an emp
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,23 +25,40 @@ BLOCK_DAYS = 56
 
 
 def _merge(tolerance: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, held = None, deque()
-        for pdf in batches:
-            ids, found = [], []
-            for entity, block, at, lid, rid in zip(pdf["_k"].tolist(), pdf["_b"].tolist(), pdf["_at"].tolist(), pdf["_l"].tolist(), pdf["_r"].tolist()):
-                if group != (entity, block):
-                    group = (entity, block)
-                    held.clear()
-                if lid is None:
-                    held.append((at + tolerance, int(rid)))
-                    continue
-                while held and held[0][0] < at - tolerance:
-                    held.popleft()
-                if held:
-                    ids.append(lid)
-                    found.append(min((abs(day - at), r) for day, r in held)[1])
-            yield pd.DataFrame({"left_id": pd.Series(ids, dtype=object), "right_id": pd.Series(found, dtype="int64")})
+    """The merge over Arrow batches: the two neighbours of each left record are looked up among the right records held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, days, ids = None, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)  # the right records held of the group ``last``
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            key, block = batch.column("_k"), batch.column("_b")
+            new = pc.or_(pc.not_equal(key.slice(1), key.slice(0, n - 1)), pc.not_equal(block.slice(1), block.slice(0, n - 1))).to_numpy(zero_copy_only=False)
+            group = np.append(0, np.cumsum(new.astype(np.int64)))
+            head, tail = (key[0].as_py(), block[0].as_py()), (key[n - 1].as_py(), block[n - 1].as_py())
+            if head != last:
+                days, ids = days[:0], ids[:0]
+            at = batch.column("_at").to_numpy().astype(np.int64)
+            is_left = batch.column("_l").is_valid().to_numpy(zero_copy_only=False)
+            place = np.flatnonzero(~is_left)
+            right_group = np.append(np.zeros(len(days), dtype=np.int64), group[place])
+            right_day = np.append(days, at[place] + tolerance)
+            right_id = np.append(ids, batch.column("_r").take(pa.array(place)).to_numpy().astype(np.int64))
+            # one number orders groups and days; a group spans far fewer days than the step between groups
+            step, low = 1 << 24, 1 << 23
+            rights, mine = right_group * step + right_day + low, np.flatnonzero(is_left)
+            t = group[mine] * step + at[mine] + low
+            after = np.searchsorted(rights, t)
+            far = np.int64(1) << 62
+            padded, who = np.concatenate(([-far], rights, [far])), np.concatenate(([0], right_id, [0]))
+            gap_before, gap_after = t - padded[after], padded[after + 1] - t
+            first = (gap_before < gap_after) | (gap_before == gap_after) & (who[after] < who[after + 1])
+            hit = np.minimum(gap_before, gap_after) <= tolerance
+            chosen = np.where(first, who[after], who[after + 1])[hit]
+            yield pa.RecordBatch.from_arrays([batch.column("_l").take(pa.array(mine[hit])), pa.array(chosen, pa.int64())], ["left_id", "right_id"])
+            keep = (right_group == group[-1]) & (right_day >= at[-1] - tolerance)
+            last, days, ids = tail, right_day[keep], right_id[keep]
 
     return run
 
@@ -61,4 +80,4 @@ def nearest_in_time(left: DataFrame, right: DataFrame, tolerance: int = 14, bloc
         "_r",
     )
     rows = lefts.unionByName(rights).repartition("_k", "_b").sortWithinPartitions("_k", "_b", "_at", F.col("_l").asc_nulls_first())
-    return rows.select("_k", "_b", "_at", "_l", F.col("_r").cast("double").alias("_r")).mapInPandas(_merge(tolerance), "left_id string, right_id bigint")
+    return rows.select("_k", "_b", "_at", "_l", "_r").mapInArrow(_merge(tolerance), "left_id string, right_id bigint")
