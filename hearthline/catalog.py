@@ -470,6 +470,7 @@ def record_ids(spark, d):
     return table(spark, d, "items").select("record_id", R.record_type(r).alias("record_type"), R.record_parent(r).alias("parent")).distinct()
 
 
+UNIT_SQL = f"(starts_with(t[i], '#') OR list_contains({R.UNIT_WORDS}, t[i]) OR list_contains({R.UNIT_SHAPES}, regexp_replace(regexp_replace(t[i], '[0-9]', '9', 'g'), '[A-Z]', 'A', 'g')))"
 TYPE_SQL = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in R.STREET_TYPES.items()) + " ELSE {t} END"
 ORDINAL_SQL = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in R.ORDINAL_WORDS.items()) + " ELSE {t} END"
 
@@ -478,7 +479,7 @@ ORDINAL_SQL = "CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in R.ORDI
     f"""WITH a AS (SELECT DISTINCT unnest([prj_project_address, site_address]) AS address FROM items), b AS (SELECT address, regexp_replace(upper(string_split(address, ',')[1]), '\\s+[0-9]{{5}}(-[0-9]{{4}})?$', '') AS s FROM a WHERE address IS NOT NULL),
              c AS (SELECT address, regexp_replace(regexp_replace(trim(regexp_replace(s, '\\s+', ' ', 'g')), '^([0-9]+) ?[-–] ?[0-9]+[A-Z]?\\b', '\\1'), '\\.( |$)', '\\1', 'g') AS s FROM b),
              d AS (SELECT address, string_split(s, ' ') AS t FROM c),
-             e AS (SELECT address, t[1:greatest(list_max([0] || list_filter(range(1, len(t) + 1), lambda i: i <= 3 OR NOT regexp_matches(t[i], '{R.UNIT}'))), 1)] AS t FROM d),
+             e AS (SELECT address, t[1:greatest(list_max([0] || list_filter(range(1, len(t) + 1), lambda i: i <= 3 OR NOT {UNIT_SQL})), 1)] AS t FROM d),
              f AS (SELECT address, list_filter(t, lambda x, i: i = 1 OR length(x) > 1 OR regexp_matches(x, '^[0-9]$')) AS t FROM e),
              g AS (SELECT address, list_transform(t, lambda x, i: CASE WHEN i = len(t) AND i > 1 THEN {TYPE_SQL.format(t='x')} ELSE x END) AS t FROM f),
              h AS (SELECT address, list_transform(t, lambda x: regexp_replace(x, '^([0-9])(ST|ND|RD|TH)$', '0\\1\\2')) AS t FROM g)
@@ -489,7 +490,11 @@ def norm_addresses(spark, d):
     return a.select("address", R.norm_address(F.col("address")).alias("normal"))
 
 
-@query(f"SELECT DISTINCT item_id, coalesce(regexp_extract(substr(item_text, 1, 400), '{R.SITE}', 1), '') AS site, coalesce(substr(trim(regexp_extract(item_text, '(?i){R.RECOMMENDATION}', 1)), 1, 300), '') AS recommendation FROM items".replace("[A-Za-z0-9.']", "[A-Za-z0-9.'']"))
+SITE_SQL = R.SITE.replace("'", "''")
+RECOMMENDED_SQL = r"regexp_split_to_array(regexp_split_to_array(item_text, '(?i)preliminary\s+recommendation\s*:\s*')[2], '[\n(]')[1]"
+
+
+@query(f"SELECT DISTINCT item_id, coalesce(regexp_extract(substr(item_text, 1, 400), '{SITE_SQL}', 1), '') AS site, coalesce(substr(trim({RECOMMENDED_SQL}), 1, 300), '') AS recommendation FROM items")
 def item_extracts(spark, d):
     t = F.col("item_text")
     return table(spark, d, "items").select("item_id", R.site_in_text(t).alias("site"), R.recommendation_in_text(t).alias("recommendation")).distinct()
@@ -568,15 +573,25 @@ def name_cleanup(spark, d):
     return names.clean_names(c)
 
 
-KINDS_SQL = "(?:sponsor|architect|owner|developer|team|representative|requestor|applicant|consultant|engineer|planner|contractor|speaker|staff)"
-ONLY_SQL = f"(?i)^\\s*(?:co-)?(?:project |property |building |discretionary review )?{KINDS_SQL}s?(?:''s)?\\s*(?:representative)?\\s*$"
-TAIL_SQL = "(?i)\\s*[-–—,]+\\s*((?:co-)?(?:project |property |building |discretionary review )?(?:sponsor|architect|owner|developer|requestor|applicant)s?)\\s*$"
+def _label_sql(c: str, nouns: list[str]) -> str:
+    """Whether ``c`` holds nothing but role words, one of them a noun."""
+    words = f"list_filter(regexp_split_to_array(regexp_replace(lower({c}), {POSSESSIVE_SQL}, '', 'g'), '\\s+'), lambda w: w <> '')"
+    known = [*nouns, *[n + "s" for n in nouns]]
+    listed = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    return f"(list_has_any({words}, {listed(known)}) AND list_has_all({listed([*known, *roles.ROLE_QUALIFIERS, 'representative'])}, {words}))"
+
+
+POSSESSIVE_SQL = r"'[’'']s\b|\bco-'"
+PARTED_SQL = r"'^(.*?)[\s–—,-]*[–—,-]\s*([^–—,-]+)$'"
 
 
 @query(
-    f"""WITH c AS (SELECT DISTINCT comment_id, name_clean, role_title, is_anonymous, coalesce(name_clean, '') AS n FROM comments), k AS (SELECT *, trim(regexp_replace(n, '{TAIL_SQL}', '')) AS short FROM c),
-             b AS (SELECT *, regexp_matches(short, '{ONLY_SQL}') OR regexp_matches(n, '{ONLY_SQL}') AS bare, short <> n AND short <> '' AS cut FROM k)
-        SELECT comment_id, CASE WHEN bare THEN NULL WHEN cut THEN short ELSE name_clean END AS name_clean, coalesce(role_title, nullif(CASE WHEN bare THEN trim(n) WHEN cut THEN regexp_extract(n, '{TAIL_SQL}', 1) END, '')) AS role_title,
+    rf"""WITH c AS (SELECT DISTINCT comment_id, name_clean, role_title, is_anonymous, coalesce(name_clean, '') AS n FROM comments),
+             p AS (SELECT *, regexp_replace(n, '(?i)\b(co)-', '\1~', 'g') AS w FROM c),
+             k AS (SELECT *, replace(trim(regexp_extract(w, {PARTED_SQL}, 2)), '~', '-') AS label, replace(trim(regexp_extract(w, {PARTED_SQL}, 1)), '~', '-') AS head FROM p),
+             f AS (SELECT *, label <> '' AND head <> '' AND {_label_sql('label', roles.FOLLOWING)} AS cut FROM k),
+             b AS (SELECT *, {_label_sql('CASE WHEN cut THEN head ELSE n END', roles.ROLE_NOUNS)} OR {_label_sql('n', roles.ROLE_NOUNS)} AS bare FROM f)
+        SELECT comment_id, CASE WHEN bare THEN NULL WHEN cut THEN head ELSE name_clean END AS name_clean, coalesce(role_title, nullif(CASE WHEN bare THEN trim(n) WHEN cut THEN label END, '')) AS role_title,
                CASE WHEN bare THEN 1 ELSE is_anonymous END::INT AS is_anonymous FROM b"""
 )
 def role_labels(spark, d):
