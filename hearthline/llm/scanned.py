@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,8 +33,16 @@ CONFUSIONS = [
     ("8", "a", 0.3), ("3", "e", 0.5), ("4", "a", 0.5), ("7", "t", 0.5), ("†", "t", 1.0), ("+", "t", 0.6), ("f", "t", 0.5), ("t", "f", 0.5), ("q", "g", 0.4), ("g", "q", 0.3), ("y", "v", 0.3), ("v", "y", 0.3), ("o", "c", 0.3), ("c", "o", 0.4), ("a", "o", 0.3), ("o", "a", 0.3), ("u", "n", 0.4), ("n", "u", 0.4), ("b", "h", 0.4),
     ("h", "b", 0.4), ("s", "5", 0.01), ("@", "a", 0.8), ("€", "e", 0.7), ("£", "f", 0.3), ("¢", "c", 0.7), ("ß", "b", 0.5), ("é", "e", 0.6), ("ö", "o", 0.5), ("í", "i", 0.6), ("ı", "i", 0.9), ("ﬁ", "fi", 1.0), ("ﬂ", "fl", 1.0), ("rri", "m", 0.4), ("iii", "m", 0.4), ("nn", "m", 0.3), ("uu", "w", 0.4),
 ]
+#: Log probability of the channel below which no reading is looked at: a word of any frequency loses to an unknown one there.
+FARTHEST = math.log(1e-7)
 #: Probability that a printed word is misread with one given confusion; of a letter-for-letter confusion less.
 P_MISREAD, P_LETTER = 0.02, 0.004
+#: The confusions by the first character read, with their log probabilities.
+CHANNEL: dict[str, list[tuple[str, str, float]]] = {}
+for _wrong, _right, _share in CONFUSIONS:
+    CHANNEL.setdefault(_wrong[0], []).append((_wrong, _right, math.log(_share * (P_LETTER if _wrong.isalpha() and len(_wrong) == len(_right) else P_MISREAD))))
+#: Different confusions in one word.
+CONFUSED = 3
 HEAD = re.compile(
     r"^\W*(?:(?:the )?(?:port alder )?(?:city )?planning (?:commission|department)(?: minutes| hearing| meeting)?|(?:meeting|hearing) minutes|minutes of the (?:regular|special|joint|closed)?\s*(?:hearing|meeting)|"
     r"(?:regular|special|joint) (?:hearing|meeting) minutes)\b",
@@ -42,19 +51,21 @@ HEAD = re.compile(
 MONTH = r"(?:january|february|march|april|may|june|july|august|september|october|november|december)"
 DATE = re.compile(r"(?:(?:mon|tues|wednes|thurs|fri|satur|sun)day,?\s*)?(?:" + MONTH + r"\s+\d{1,2},?\s+\d{4}|\d{1,2}/\d{1,2}/\d{2,4})", re.I)
 PAGE = re.compile(r"(?:\bpage\s*\d+(?:\s*of\s*\d+)?|\bp\.\s*\d+|\bpg\.?\s*\d+)", re.I)
+#: What every head and page number has: a digit, or a word of the patterns above.
+HINT = re.compile(r"\d|lanning|inutes", re.I)
 LONE = re.compile(r"^\s*(?:[-–—\[(|]\s*)?(?:(?:page|pg\.?|p\.)\s*)?\d{1,4}(?:\s*(?:of|\||/)\s*\d{1,4})?(?:\s*[-–—\])|])?\s*$", re.I)
 BREAK = re.compile(r"([^\W\d_][\w'’†!|$@]*)([-‐‑¬­])[ \t\r]*$")
 MARKS = frozenset("-‐‑¬­")
+COMPOUND = re.compile(r"\b[a-z]+-[a-z]+\b")
 TOKEN = re.compile(r"[^\s\-–—/]+")
+PARTS = re.compile(r"([\s\-–—/]+)")
 EDGE = "\"'“”‘’().,;:?*"
 
 
 def kind_of_line(line: str) -> tuple[bool, bool]:
     """(a running head, holds a page number) of one line."""
-    if len(line) > 120:
-        return False, False
     s = line.strip()
-    if not any(c in s for c in "0123456789") and "lanning" not in (low := s.lower()) and "inutes" not in low:
+    if not HINT.search(s):
         return False, False
     if s[:4] == "page":  # a wrapped sentence that ends in "page 12."
         return False, False
@@ -105,32 +116,39 @@ def _clean(token: str) -> str:
     return token.strip(EDGE)
 
 
+class _Lows(dict):
+    """A token as printed -> the lower-case word it counts as in pairs, '' if none. Forgotten at a bound."""
+
+    def __missing__(self, token: str) -> str:
+        t = token.strip(EDGE)
+        low = t.lower() if t.isalpha() and (t.islower() or t[1:].islower() or len(t) == 1) else ""
+        if len(self) > 200_000:
+            self.clear()
+        self[token] = low
+        return low
+
+
+_lows = _Lows()
+
+
 def count_text(text: str, words: Counter, pairs: Counter, compounds: Counter) -> None:
-    """Add one text's words, pairs and compounds; parts of broken words are left out."""
+    """Add one text's words, pairs (as tuples; '' stands between) and compounds; parts of broken words are left out."""
     skip_first = False
     for line, head, page in lines_of(text):
         if head or page or not line:
             continue
         m = BREAK.search(line) if line.rstrip()[-1:] in MARKS else None
         if "-" in line:
-            for c in re.findall(r"\b[a-z]+-[a-z]+\b", line[: m.start()] if m else line):
-                compounds[c] += 1
-        tokens = [t.strip(EDGE) for t in TOKEN.findall(line)]
+            compounds.update(COMPOUND.findall(line[: m.start()] if m else line))
+        tokens = TOKEN.findall(line)
         if m:
             tokens = tokens[:-1]
         if skip_first:
             tokens = tokens[1:]
         skip_first = bool(m)
-        before = ""
-        for t in tokens:
-            if t.islower() and t.isalpha():
-                low = t
-                words[t] += 1
-            else:
-                low = t.lower() if t.isalpha() and (t[1:].islower() or len(t) == 1) else ""
-            if before and low:
-                pairs[f"{before} {low}"] += 1
-            before = low
+        lows = [_lows[t] for t in tokens]
+        words.update([w for w, t in zip(lows, tokens) if w and t.strip(EDGE) == w])
+        pairs.update(zip(lows, lows[1:]))
 
 
 class Reader:
@@ -139,42 +157,38 @@ class Reader:
     def __init__(self, words: dict[str, int], pairs: dict[str, int], compounds: dict[str, int]):
         self.words, self.pairs, self.compounds = words, pairs, compounds
         self.total = max(1, sum(words.values()))
+        self.beginnings = {w[:k] for w in words for k in range(1, len(w) + 1)}
         self.memo: dict[str, list[tuple[str, float]]] = {}
         self.known: dict[str, tuple[str, list[tuple[str, float]], bool]] = {}
+        self.plain: set[str] = set()
 
     def candidates(self, read: str) -> list[tuple[str, float]]:
-        """(printed, log probability of the channel), the reading itself among them."""
+        """(printed, log probability of the channel) of every known word that up to CONFUSED different confusions turn into
+        what was read, the reading itself among them: a walk through the beginnings of known words, so none is missed."""
         found = self.memo.get(read)
-        if found is None:
-            best = {read: 0.0}
-            seen, level = {read: 0.0}, {read: 0.0}
-            odd = any(not c.isalpha() for c in read)
-            for _ in range(3 if odd else 2):
-                step: dict[str, float] = {}
-                for s, p in level.items():
-                    for wrong, right, share in CONFUSIONS:
-                        i = s.find(wrong)
-                        if i < 0:
-                            continue
-                        cost = math.log(share * (P_LETTER if wrong.isalpha() and len(wrong) == len(right) else P_MISREAD))
-                        if s.count(wrong) > 1 and (t := s.replace(wrong, right)) in self.words:
-                            best[t] = max(best.get(t, -99.0), p + 1.5 * cost)
-                        while i >= 0:
-                            t = s[:i] + right + s[i + len(wrong) :]
-                            if p + cost > seen.get(t, -99.0):
-                                seen[t] = step[t] = p + cost
-                                if t in self.words:
-                                    best[t] = max(best.get(t, -99.0), p + cost)
-                            i = s.find(wrong, i + 1)
-                if len(best) > 1:  # words that need fewer confusions are likelier by far
-                    break
-                if len(step) > 3000:  # only the likeliest readings go on; a complete one was kept above
-                    step = dict(sorted(step.items(), key=lambda x: -x[1])[:3000])
-                level = step
-            found = sorted(best.items(), key=lambda x: -x[1])
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            self.memo[read] = found
+        if found is not None:
+            return found
+        best = {read: 0.0}
+        # place in the reading, what is printed so far, log probability, confusions used so far (a repeated one costs half, then nothing)
+        open_: list[tuple[int, str, float, tuple[tuple[str, str], ...]]] = [(0, "", 0.0, ())]
+        while open_:
+            i, printed, p, used = open_.pop()
+            if i == len(read):
+                if printed in self.words and p > best.get(printed, -99.0):
+                    best[printed] = p
+                continue
+            if (more := printed + read[i]) in self.beginnings:
+                open_.append((i + 1, more, p, used))
+            for wrong, right, cost in CHANNEL.get(read[i], ()):
+                if read.startswith(wrong, i) and (more := printed + right) in self.beginnings:
+                    times = used.count((wrong, right))
+                    q = p + (cost if not times else 0.5 * cost if times == 1 else 0.0)
+                    if q > FARTHEST and (times or len(set(used)) < CONFUSED):
+                        open_.append((i + len(wrong), more, q, (*used, (wrong, right))))
+        found = sorted(best.items(), key=lambda x: -x[1])
+        if len(self.memo) > 100_000:
+            self.memo.clear()
+        self.memo[read] = found
         return found
 
     def options(self, token: str) -> tuple[str, list[tuple[str, float]], bool]:
@@ -188,6 +202,10 @@ class Reader:
             if len(self.known) > 100_000:
                 self.known.clear()
             found = self.known[token] = (core, options, bool(ordinary))
+            if len(options) == 1:
+                if len(self.plain) > 200_000:
+                    self.plain.clear()
+                self.plain.add(token)
         return found
 
     def decode(self, tokens: list[str]) -> list[str]:
@@ -210,8 +228,8 @@ class Reader:
                     s = score + link + channel
                     if word not in step or s > step[word][0]:
                         step[word] = (s, [*path, word], word)
-            paths = sorted(step.values(), key=lambda x: -x[0])[:8]
-        return paths[0][1]
+            paths = list(step.values())
+        return max(paths, key=lambda x: x[0])[1]
 
     def repair(self, text: str | None) -> tuple[str | None, set[str]]:
         """(continuous text, kinds of noise found)."""
@@ -255,7 +273,10 @@ class Reader:
             joined.append(carry)
         out = []
         for line in joined:
-            pieces = re.split(r"([\s\-–—/]+)", line)
+            if self.plain.issuperset(TOKEN.findall(line)):  # every word has but one reading
+                out.append(line)
+                continue
+            pieces = PARTS.split(line)
             tokens = pieces[::2]
             want = [k for k, t in enumerate(tokens) if t]
             decoded = self.decode([tokens[k] for k in want])
@@ -307,26 +328,37 @@ def _model(texts: DataFrame) -> tuple[dict[str, int], dict[str, int], dict[str,
     totals = {r["kind"]: r["n"] for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     out = []
     for kind, share in ((0, WORD_SHARE), (1, PAIR_SHARE), (2, WORD_SHARE)):
-        least = max(2 if totals.get(kind, 0) > 50_000 else 1, totals.get(kind, 0) / share)
+        least = max(2, totals.get(kind, 0) / share)
         out.append({r["gram"]: r["n"] for r in counts.where((F.col("kind") == kind) & (F.col("n") >= least)).select("gram", "n").collect()})
     counts.unpersist()
     return out[0], out[1], out[2]
 
 
 def _rows(words: Counter, pairs: Counter, compounds: Counter) -> pd.DataFrame:
-    rows = [(k, g, n) for k, c in enumerate((words, pairs, compounds)) for g, n in c.items()]
+    rows = [(0, w, n) for w, n in words.items()] + [(1, f"{a} {b}", n) for (a, b), n in pairs.items() if a and b] + [(2, c, n) for c, n in compounds.items()]
     return pd.DataFrame(rows, columns=["kind", "gram", "n"]).astype({"kind": "int32", "n": "int64"})
 
 
+_readers: dict[str, Reader] = {}
+
+
+def reader_of(name: str, model) -> Reader:
+    """The reader of one model, kept by the worker process between its tasks, so each form of a word is looked at once."""
+    if name not in _readers:
+        _readers.clear()
+        _readers[name] = Reader(*model.value)
+    return _readers[name]
+
+
 def repair_scans(texts: DataFrame) -> DataFrame:
     """(id, field_name, repaired, noises ARRAY<STRING>) of a table (id, field_name, text)."""
     spark = texts.sparkSession
     texts = texts.select("id", "field_name", "text").where("text IS NOT NULL").distinct()
     model = spark.sparkContext.broadcast(_model(texts.select("text")))
-    readers: dict[int, Reader] = {}
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = readers.setdefault(0, Reader(*model.value))
+        reader = reader_of(name, model)
         for pdf in batches:
             done = [reader.repair(t) for t in pdf["text"]]
             yield pd.DataFrame({"id": pdf["id"], "field_name": pdf["field_name"], "repaired": [x for x, _ in done], "noises": [sorted(n) for _, n in done]})
