@@ -5,7 +5,8 @@ place (names in closings, signatures and after words that introduce a person). O
 kind. Every mention is replaced by a placeholder of its kind that carries a keyed pseudonym: the digits of validated
 numbers, and dates, are permuted within their own format by a Feistel network keyed with a secret, so equal values stay
 linked across documents, different values stay different, and lengths and separators survive; words are replaced by
-keyed codes. The rest of the text is untouched.
+keyed codes of 96 bits. Numbers are mentions only if they are valid (area and exchange codes of phones, areas and groups
+of social security numbers). The rest of the text is untouched.
 
 Defined results: null and blank texts have no mentions and stay as they are; texts are treated whole; of overlapping
 mentions one is kept; positions are 0-based and count characters; repeated rows count once.
@@ -37,8 +38,8 @@ PHONE = re.compile(
     r"(?<![\w.\-–—/$#(])(?<!\d[ \xa0])\d{3}[\-.]\d{4}(?![\w\-–/]|\.\d)"
 )
 NUMBERISH = re.compile(r"[+(\d][\d ()./\-–—\t\xa0]{6,}\d")
-#: What an identity number's label contains, for a quick look before the pattern is tried.
-LABEL_HINTS = ("ssn", "soc", "licen", "passport", "tax", "itin", "tin ", "ein ", "dl ", "tin:", "dl:", "dl#")
+#: How every label of an identity number begins, for a quick look before the pattern is tried.
+LABEL_HINT = re.compile(r"\b(?:ssn|soc|itin|tin|ein|tax|c?dl|driv|licen|passport)", re.I)
 IDENTITY_LABEL = (
     r"(?:ssn|social" + GAP + r"+security(?:" + GAP + r"+(?:number|no\.?|card))?|soc\." + GAP + r"?sec\.?|itin|tin|ein|tax(?:payer)?" + GAP + r"*(?:id|identification)|c?dl|(?:driver['’]?s?|driving)?" + GAP + r"*licen[cs]e|passport)"
 )
@@ -96,6 +97,8 @@ NAMED = re.compile(r"(?P<n>" + REVERSED + r"(?=,|\s*$|;)|" + FULL_NAME + r")(?![
 #: A name all in lower case; its first word must be a known first name.
 LOWER = re.compile(r"(?P<n>(?P<f>[a-zß-ÿ'’\-]{2,})(?:" + GAP + r"+[a-z]\.)?" + GAP + r"+[a-zß-ÿ'’\-]{3,}|[a-zß-ÿ'’\-]{3,}," + GAP + r"+(?P<g>[a-zß-ÿ'’\-]{2,}))(?![\w@])")
 TITLED = re.compile(r"\b(?:Mr|Mrs|Ms|Miss|Mx|Dr|MR|MRS|MS|DR)\b\.?" + GAP + r"+(?P<n>" + FULL_NAME + r")(?![\w@])")
+#: Two capitalised words in running text; the first must be a known first name.
+PROSE = re.compile(r"(?<![\w@])(?P<n>(?P<f>[A-ZÀ-Þ][a-zß-ÿ'’]+)(?:" + GAP + r"+[A-ZÀ-Þ]\.)?" + GAP + r"+[A-ZÀ-Þ][\w'’\-]*[a-zß-ÿ])(?![\w@])")
 #: Capitalised words that are no names.
 NO_NAME = frozenset(
     """commissioners commissioner commission planning department planner president members member hearing everyone port alder street avenue dear hello honorable good morning afternoon evening regarding subject forwarded message whom concern
@@ -110,6 +113,22 @@ def _no_name(s: str) -> bool:
     return any(w.strip(".,").casefold() in NO_NAME for w in words)
 
 
+def valid_phone(printed: str) -> bool:
+    """Area and exchange codes begin with 2 to 9; a number without an area code has only an exchange."""
+    digits = "".join(c for c in printed if c.isdigit())
+    local = digits[-10:] if len(digits) >= 10 else digits
+    return local[0] not in "01" and (len(local) < 10 or local[3] not in "01") and (len(digits) < 11 or digits[0] == "1")
+
+
+def valid_identity(printed: str, value: str) -> bool:
+    """A social security number has no part of zeros only and no area 666; other numbers have a digit other than 0."""
+    digits = "".join(c for c in value if c.isdigit())
+    social = re.match(r"ssn|soc", printed, re.I) or re.fullmatch(r"\d{3}[-–]\d{2}[-–]\d{4}", value)
+    if social and len(digits) == 9:
+        return digits[:3] not in ("000", "666") and digits[3:5] != "00" and digits[5:] != "0000"
+    return bool(digits.strip("0"))
+
+
 class Finder:
     """Finds the mentions of one text. ``first_names`` (lower case) let names in lower case be told from words."""
 
@@ -137,13 +156,15 @@ class Finder:
         has_digit = any(c in text for c in "0123456789")
         if has_digit:
             numbers = [(c.start(), c.end()) for c in NUMBERISH.finditer(text)]
-            if numbers or any(h in low for h in LABEL_HINTS):
-                for m in IDENTITY.finditer(text) if any(h in low for h in LABEL_HINTS) else (m for a, b in numbers for m in IDENTITY.finditer(text, a, min(len(text), b + 2))):
+            labelled = LABEL_HINT.search(text)
+            if numbers or labelled:
+                for m in IDENTITY.finditer(text) if labelled else (m for a, b in numbers for m in IDENTITY.finditer(text, a, min(len(text), b + 2))):
                     g = "v" if m["v"] else "w"
-                    add(m.start(g), m.end(g), "identity")
+                    if valid_identity(m[0], m[g]):
+                        add(m.start(g), m.end(g), "identity")
             for a, b in numbers:
                 for m in PHONE.finditer(text, a, min(len(text), b + 3)):
-                    if not re.search(r"(?:\bno\.?|resolution|motion|case|permit|bpa|#|\$)\s*$", text[max(0, m.start() - 12) : m.start()], re.I):
+                    if valid_phone(m[0]) and not re.search(r"(?:\bno\.?|resolution|motion|case|permit|bpa|#|\$)\s*$", text[max(0, m.start() - 12) : m.start()], re.I):
                         add(m.start(), m.end(), "phone")
         fields = self.signature(text, add)
         contexts = list(CONTEXT.finditer(text))
@@ -186,6 +207,10 @@ class Finder:
         for m in TITLED.finditer(text):
             if not _no_name(m["n"]):
                 add(m.start("n"), m.end("n"), "name")
+        if self.first_names:
+            for m in PROSE.finditer(text):
+                if m["f"].lower() in self.first_names and not _no_name(m["n"]) and not self._organisation(text, m.end()):
+                    add(m.start(), m.end(), "name")
         return sorted(spans)
 
     @staticmethod
@@ -228,7 +253,7 @@ class Finder:
         lines = text.split("\n")
         for i, line in enumerate(lines):
             body = line.strip(" >\t\r")
-            if i and body and len(body) < 60:
+            if i and body:
                 shift = HONOR.match(body).end()
                 core = body[shift:]
                 low = core.islower() and re.fullmatch(r"([^\W\d_'’\-]+)(?: [a-z]\.)? [^\W\d_'’\-]{3,}", core)
@@ -238,7 +263,9 @@ class Finder:
                     at = line_start + line.index(body) + shift
                     add(at, at + len(core), "name")
                     fields_at = line_start + len(line) + 1
-                    for k in range(i + 1, min(i + 4, len(lines))):
+                    for k in range(i + 1, len(lines)):
+                        if not lines[k].strip(" >\t\r"):
+                            break
                         lead = len(lines[k]) - len(lines[k].lstrip(" >\t"))
                         fields.append((fields_at + lead, fields_at + len(lines[k])))
                         fields_at += len(lines[k]) + 1
@@ -301,6 +328,10 @@ def permute_date(printed: str, key: bytes) -> str:
     return f"{moved.month}{m[2]}{moved.day}{m[4]}{moved.year}"
 
 
+#: Hexadecimal digits of a code: 96 bits, so that different values don't share one in any corpus.
+CODE = 24
+
+
 def pseudonym(kind: str, value: str, key: bytes) -> str:
     """The placeholder of one mention."""
     if kind == "date":
@@ -311,7 +342,7 @@ def pseudonym(kind: str, value: str, key: bytes) -> str:
         moved = iter(lead + feistel(digits[len(lead) :], key, kind))
         return f"[{kind} " + re.sub(r"\d", lambda _: next(moved, "0"), value) + "]"
     same = re.sub(r"\W+", " ", value.casefold()).strip()
-    return f"[{kind} {hmac.new(key, f'{kind}|{same}'.encode(), hashlib.sha256).hexdigest()[:8]}]"
+    return f"[{kind} {hmac.new(key, f'{kind}|{same}'.encode(), hashlib.sha256).hexdigest()[:CODE]}]"
 
 
 def redact(text: str | None, finder: Finder, key: bytes) -> str | None:
@@ -332,7 +363,7 @@ def _fields(comments: DataFrame) -> DataFrame:
 
 
 #: A first name is known if it is this share of all recorded names, so that at most that many are known.
-NAME_SHARE = 5_000
+NAME_SHARE = 50_000
 
 
 def known_first_names(names: DataFrame) -> frozenset[str]:
@@ -377,3 +408,33 @@ def redact_comments(comments: DataFrame, secret: str, first_names: frozenset[str
             yield pd.DataFrame({"comment_id": pdf["comment_id"], "comment": comment, "text": text})
 
     return _fields(comments).mapInPandas(run, "comment_id string, comment string, text string")
+
+
+def linked_values(comments: DataFrame, secret: str, first_names: frozenset[str] = frozenset()) -> DataFrame:
+    """(kind, n_values, n_pseudonyms, n_restored) of all mentions: that equal values stay linked and different ones apart.
+
+    Values are compared as their pseudonyms see them (the digits of numbers, the words of the rest). A number counts as
+    restored if the inverse of the permutation gives its digits back; words have no inverse, so none of them counts.
+    """
+    key = hashlib.sha256(secret.encode()).digest()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        finder = Finder(first_names)
+        for pdf in batches:
+            rows = []
+            for text in pdf["text"]:
+                for start, end, kind in finder.find(text):
+                    value, code, back = text[start:end], pseudonym(kind, text[start:end], key), 0
+                    if kind in ("phone", "identity"):
+                        value, moved = ("".join(c for c in x if c.isdecimal()) for x in (value, code))
+                        lead = len(value) - 10 if kind == "phone" and len(value) == 11 else 0
+                        back, code = int(value[:lead] + unfeistel(moved[lead:], key, kind) == value), moved
+                    else:
+                        value = re.sub(r"\W+", " ", value.casefold()).strip()
+                    rows.append((kind, value, code, back))
+            yield pd.DataFrame(rows, columns=["kind", "value", "code", "back"]).astype({"back": "int32"})
+
+    texts = comments.select(F.explode(F.array("comment", "text")).alias("text")).where("text IS NOT NULL").distinct()
+    found = texts.mapInPandas(run, "kind string, value string, code string, back int").distinct()
+    counts = found.groupBy("kind").agg(F.count_distinct("value").alias("n_values"), F.count_distinct("code").alias("n_pseudonyms"), F.sum("back").alias("n_restored"))
+    return counts.select("kind", "n_values", "n_pseudonyms", "n_restored")

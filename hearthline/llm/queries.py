@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from hearthline.llm.names import link_organisations, link_persons
 from hearthline.llm.near_duplicates import near_duplicates
 from hearthline.llm.nearest_time import nearest_in_time
 from hearthline.llm.packing import fill_containers
-from hearthline.llm.personal import find_mentions, known_first_names, redact_comments
+from hearthline.llm.personal import find_mentions, known_first_names, linked_values, redact_comments
 from hearthline.llm.residue import find_residue
 from hearthline.llm.scanned import repair_scans
 from hearthline.llm.tokens import encode_ids, token_sizes
@@ -41,11 +43,26 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_mentions(spread(comments.select("comment_id", "comment", "text")), known)
 
 
+_own_secret = secrets.token_hex(32)
+
+
+def pseudonym_secret(spark: SparkSession) -> str:
+    """The deployment's secret from ``spark.hearthline.secret``; where it isn't set, one drawn for this process, whose pseudonyms link within its runs only."""
+    return spark.conf.get("spark.hearthline.secret", None) or _own_secret
+
+
 def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments with a typed placeholder and pseudonym for every mention."""
     comments = table(spark, sf_dir, "comments")
     known = known_first_names(comments.select(F.col("name_clean").alias("name")))
-    return redact_comments(spread(comments.select("comment_id", "comment", "text")), "the deployment's own secret", known)
+    return redact_comments(spread(comments.select("comment_id", "comment", "text")), pseudonym_secret(spark), known)
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kind of mention: different values, different pseudonyms, numbers that the inverse restores."""
+    comments = table(spark, sf_dir, "comments")
+    known = known_first_names(comments.select(F.col("name_clean").alias("name")))
+    return linked_values(comments, pseudonym_secret(spark), known)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +113,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_residue(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p3_links": p3_links, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_repaired": p6_repaired, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found}
 
 CASE = "regexp_extract({c}, '(^|[^0-9])([0-9]{{4}}|[0-9]{{2}})([.-])([0-9]+)', {g})"
 

@@ -115,6 +115,31 @@ def test_mentions(text, want):
     assert [(k, v.rstrip(".")) for k, v in got] == [(k, v.rstrip(".")) for k, v in want]
 
 
+def test_labels_and_validity_of_numbers():
+    find = lambda t: [(k, t[s:e]) for s, e, k in personal.Finder().find(t)]
+    assert find("My EIN: 123456789 and TIN# 987654321; EIN 223456789") == [("identity", "123456789"), ("identity", "987654321"), ("identity", "223456789")]
+    assert find("SSN 000-12-3456, 666-12-3456, 123-00-4567, 123-45-0000, SSN 219-09-9999") == [("identity", "219-09-9999")]
+    assert find("call 155-555-0155 or 415-155-0155 or 415-555-0155") == [("phone", "415-555-0155")]
+    for text in ("My EIN: 123456789", "social security card 219-09-9999 here", "driver’s license N1456375", "CDL no. N1456375", "licence B1456375"):
+        assert personal.LABEL_HINT.search(text) and len(find(text)) == 1
+
+
+def test_names_in_running_text_and_on_long_lines():
+    finder = personal.Finder(frozenset(["jane", "robert"]))
+    text = "Jane Doe told the commission that Robert Q. Smith objects; Jane Doe Park and Robert Street stay. Mission Bay too."
+    assert [text[s:e] for s, e, k in finder.find(text) if k == "name"] == ["Jane Doe", "Robert Q. Smith"]
+    long = "Wolfeschlegelsteinhausenbergerdorff-Hohenzollern Vonundzuschwarzenbergundsigmaringen"
+    body = f"It is fine.\n\n{long}\nOne\nTwo\nThree\n2959 Hakumhauser St"
+    assert [body[s:e] for s, e, _ in finder.find(body)][:1] == [long] and any(k == "address" for _, _, k in finder.find(body))
+
+
+def test_codes_don_t_collide_and_values_stay_linked(spark):
+    assert len({personal.pseudonym("email", f"a{i}@mail.example", KEY) for i in range(200_000)}) == 200_000
+    rows = [("c1", "call 415-555-0155", "call 415.555.0155 or (415) 555-0156"), ("c2", None, "SSN 219-09-9999; mail x@mail.example, X@mail.example")]
+    got = {r.kind: (r.n_values, r.n_pseudonyms, r.n_restored) for r in personal.linked_values(spark.createDataFrame(rows, "comment_id string, comment string, text string"), "s").collect()}
+    assert got == {"phone": (2, 2, 2), "identity": (1, 1, 1), "email": (1, 1, 0)}
+
+
 def test_mentions_and_redaction_of_a_table(spark):
     rows = [("c1", "call 555-0155 now", "call 555-0155 now"), ("c2", None, "again 555-0155, born 3/4/1980"), ("c3", None, None), ("c4", "", "  "), ("c1", "call 555-0155 now", "call 555-0155 now"), ("c5", None, "x " * 50_000 + "555-0155")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "comment_id string, comment string, text string, both string").drop("both")
