@@ -181,6 +181,34 @@ def test_persons(spark):
     assert names.link_persons(df.limit(0), nick).count() == 0
 
 
+def test_token_order_and_long_names(spark):
+    firsts = [("q", f"Robert {w}field") for w in ("Ash", "Birch", "Cedar", "Dell", "Elm")]
+    long = "Maria del Carmen de la Vega Zandelby"
+    rows = firsts + [("p1", n) for n in ["Robert Zandelby", "Zandelby Robert", "James Thomas", "Thomas James", long, long.upper()]]
+    nick = spark.createDataFrame([("Robert", "Bob")], "formal string, nick string")
+    got = {(r.name_a, r.name_b) for r in names.link_persons(spark.createDataFrame(rows, "project string, name string"), nick).collect()}
+    assert got == {("Robert Zandelby", "Zandelby Robert"), tuple(sorted((long, long.upper())))}
+
+
+def test_initials_are_scored_by_the_persons_that_share_them(spark):
+    rows = [("p1", n) for n in ("Ann Kirlund", "Ann B. Kirlund", "A. Kirlund")] + [("p2", n) for n in ("Ann Kirlund", "Abe Kirlund", "A. Kirlund")]
+    nick = spark.createDataFrame([("Robert", "Bob")], "formal string, nick string")
+    one = {(r.name_a, r.name_b) for r in names.link_persons(spark.createDataFrame(rows[:3], "project string, name string"), nick).collect()}
+    two = {(r.name_a, r.name_b) for r in names.link_persons(spark.createDataFrame(rows[3:], "project string, name string"), nick).collect()}
+    assert one == {tuple(sorted(x)) for x in combinations([n for _, n in rows[:3]], 2)} and two == set()
+
+
+def test_chains_of_organisations_end_at_one_body(spark):
+    kind = "Neighbors Association"
+    rows = [(f"{n} {kind}",) for n, k in (("Abcdefgh", 9), ("Abcdefghij", 7), ("Abcdefghijkl", 5), ("Abcdefghijklmn", 3), ("Abcdefghijklmnop", 1)) for _ in range(k)]
+    rows += [(f"The {r[0]}",) for r in rows]
+    got = {(r.name_a, r.name_b) for r in names.link_organisations(spark.createDataFrame(rows, "name string")).collect()}
+    assert got == {tuple(sorted((a, f"The {a}"))) for a, in set(rows) if not a.startswith("The")}
+    near = [(f"{n} {kind}",) for n, k in (("Abcdefgh", 9), ("Abcdefghi", 7), ("Abcdefghij", 5), ("Abcdefghijk", 3), ("Abcdefghijkl", 1)) for _ in range(k)]
+    got = {(r.name_a, r.name_b) for r in names.link_organisations(spark.createDataFrame(near, "name string")).collect()}
+    assert got == {tuple(sorted(x)) for x in combinations({n for n, in near}, 2)}
+
+
 def test_organisations(spark):
     rows = ["Oakfield Hill Neighbors Association", "Oakfield Hl Neighbors Ass'n", "Neighbors Assn of Oakfield Hill", "The Oakfeild Hill Neighbors Association, Inc.", "OAKFIELD HILL NEIGHBORS ASSOCIATION (OHNA)", "Oakfield Hill Merchants Association", "Oakfield Valley Neighbors Association", None, ""]
     got = {(r.name_a, r.name_b) for r in names.link_organisations(spark.createDataFrame([(r,) for r in rows], "name string")).collect()}
