@@ -1,18 +1,21 @@
 """Same postal address written differently.
 
-Every distinct string is parsed into house number (of a range, the first), compass word, street name, street type, unit,
-locality and postcode. Strings with equal components form one "form". A deletion-neighbourhood index (the name and
-every string that lacks one or two of its letters) is kept inside blocks of one house number, so a typo meets its
-street without comparing all names, and different numbers never meet: the number is a hard veto. With
-``unit_veto=True`` different units are one too. A candidate pair is scored by the optimal assignment of its components:
-name tokens are matched one to one at least Damerau cost, type and compass must agree or be missing.
+Every distinct string is parsed into house number (of a range, the first), compass word, street tokens, street type, unit,
+locality and postcode. Strings with equal components form one "form". A deletion-neighbourhood index over the street
+tokens (each token and what is left of it without one or two of its letters; a name of several tokens also as one word,
+as blanks come and go) is kept inside blocks of one house number, so a typo meets its street without comparing all
+names, and different numbers never meet: the number is a hard veto. With ``unit_veto=True`` different units are one too.
+A candidate pair is scored by the optimal assignment of its components: tokens are matched one to one at least Damerau
+cost, type and compass must agree or be missing.
 
 A form then resolves to the best attested form it is compatible with: the one whose street name occurs with the most
 house numbers. Two names that are both well attested are different streets even if they differ by one letter. A form
-without a street type joins a typed one only if the block has just one such type for its street.
+without a street type joins a typed one only if the block has just one such type for its street. Resolutions are
+followed to their end, through connected components.
 
-Blocks by postcode alone would separate prints with and without a postcode, and TESTDATA lets neither postcode nor city
-count; both only break ties between equally good resolutions. No pair of strings is formed outside a resolved place.
+The blocks are house numbers instead of postcodes and neighbouring localities: many prints have neither postcode nor
+city, TESTDATA lets neither count, and the number must agree anyway. No pair of strings is formed outside a resolved
+place, and a place of very many strings is paired in blocks.
 
 Defined results: null, blank and unparseable strings (no number or no street) match nothing; repeated strings count
 once; an empty table gives an empty result; of equally good resolutions the better attested, then the smaller, wins.
@@ -21,12 +24,15 @@ once; an empty table gives an empty result; of equally good resolutions the bett
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from hearthline.operators.relational import components, pairs_within
 from hearthline.session import written
 
 #: Street types and their abbreviations.
@@ -92,7 +98,7 @@ def parse(text: str | None) -> tuple[str, str, str, str, str, str] | None:
         if m := re.fullmatch(r"0*(\d+)(?:ST|ND|RD|TH)", t):
             t = m[1]
         name.append(ORDINALS.get(t, t))
-    if not name or len(name) > 5:
+    if not name:
         return None
     unit = unit or (re.sub(r"\W+", " ", units[0]).strip() if units else "")
     return digits, compass, " ".join(name), kind, unit, postcode
@@ -115,9 +121,16 @@ def damerau(a: str, b: str, most: int = 3) -> int:
 
 
 def assignment_cost(a: list[str], b: list[str]) -> int:
-    """Least total Damerau cost of matching the tokens one to one (tokens left over cost their length), by dynamic programming over subsets."""
+    """Least total Damerau cost of matching the tokens one to one (tokens left over cost their length), by dynamic programming over subsets.
+
+    Equal tokens are matched first, which costs nothing; of what is left, more than 6 tokens on either side differ beyond any allowance.
+    """
+    equal = Counter(a) & Counter(b)
+    a, b = list((Counter(a) - equal).elements()), list((Counter(b) - equal).elements())
     if len(a) > len(b):
         a, b = b, a
+    if len(b) > 6:
+        return len(b)
     best = {0: 0}
     for t in a:
         step: dict[int, int] = {}
@@ -141,13 +154,15 @@ def allowed(a: str, b: str) -> int:
 
 
 def variants(name: str) -> list[str]:
-    """The deletion neighbourhood of a name without blanks: itself, and less one or two letters."""
-    s = name.replace(" ", "")
-    if any(c.isdigit() for c in s) or len(s) < 4:
-        return [s]
-    out = {s} | {s[:i] + s[i + 1 :] for i in range(len(s))}
-    if len(s) >= 8:
-        out |= {s[:i] + s[i + 1 : j] + s[j + 1 :] for i, j in combinations(range(len(s)), 2)}
+    """The deletion neighbourhood of a street name: of each of its tokens, and of all of them as one word."""
+    tokens = name.split()
+    out: set[str] = set()
+    for s in {*tokens, "".join(tokens)}:
+        out.add(s)
+        if len(s) >= 4 and not any(c.isdigit() for c in s):
+            out |= {s[:i] + s[i + 1 :] for i in range(len(s))}
+            if len(s) >= 8 and len(tokens) == 1:
+                out |= {s[:i] + s[i + 1 : j] + s[j + 1 :] for i, j in combinations(range(len(s)), 2)}
     return sorted(out)
 
 
@@ -199,9 +214,9 @@ def same_places(addresses: DataFrame, unit_veto: bool = True) -> DataFrame:
     links = links.where((F.col("kind") != "") | (F.col("kinds") <= 1) | (F.col("to_kind") == ""))
     best = links.withColumn("n", F.row_number().over(order)).where("n = 1").select(*me, F.struct("num", "to_compass", "to", "to_kind", "to_door").alias("place"))
     best = written(best, "p4-best")
-    # a form may have resolved to one that itself resolves further: follow twice more
-    for _ in range(2):
-        further = best.select(F.struct(*[F.col(c).alias(n) for c, n in zip(me, ("num", "to_compass", "to", "to_kind", "to_door"))]).alias("place"), F.col("place").alias("next"))
-        best = best.join(further, "place", "left").select(*me, F.coalesce("next", "place").alias("place"))
-    members = written(parsed.join(best, me).select("address", F.xxhash64("place").alias("place")).distinct(), "p4-members")
-    return members.alias("a").join(members.alias("b"), F.col("a.place") == F.col("b.place")).where(F.col("a.address") < F.col("b.address")).select(F.col("a.address").alias("address_a"), F.col("b.address").alias("address_b")).distinct()
+    # a form may have resolved to one that itself resolves further: all of a chain are one component
+    form = best.select(F.xxhash64(*me).alias("a"), F.xxhash64("place.*").alias("b"), *me)
+    labels = components(form.select("a", "b"))
+    place = form.join(labels.select(F.col("node").alias("a"), "label"), "a", "left").select(*me, F.coalesce("label", "a").alias("place"))
+    members = written(parsed.join(place, me).select("address", "place").distinct(), "p4-members")
+    return pairs_within(members, ["place"], "address").select("address_a", "address_b").distinct()
