@@ -40,6 +40,8 @@ PHONE = re.compile(
 NUMBERISH = re.compile(r"[+(\d][\d ()./\-–—\t\xa0]{6,}\d")
 #: How every label of an identity number begins, for a quick look before the pattern is tried.
 LABEL_HINT = re.compile(r"\b(?:ssn|soc|itin|tin|ein|tax|c?dl|driv|licen|passport)", re.I)
+#: What every identity number holds.
+FIVE_DIGITS = re.compile(r"\d(?:[ \xa0\-–]?\d){4}")
 IDENTITY_LABEL = (
     r"(?:ssn|social" + GAP + r"+security(?:" + GAP + r"+(?:number|no\.?|card))?|soc\." + GAP + r"?sec\.?|itin|tin|ein|tax(?:payer)?" + GAP + r"*(?:id|identification)|c?dl|(?:driver['’]?s?|driving)?" + GAP + r"*licen[cs]e|passport)"
 )
@@ -86,13 +88,18 @@ HONOR = re.compile(HONORIFIC, re.I)
 WORD = r"[A-ZÀ-Þ](?:[a-zß-ÿ'’\-]+(?:[A-ZÀ-Þ][a-zß-ÿ'’]+)*|[A-ZÀ-Þ'’\-]+)"
 FULL_NAME = r"(?:" + WORD + r"|[A-ZÀ-Þ]\.)(?:" + GAP + r"+[A-ZÀ-Þ]\.)?(?:" + GAP + r"+" + WORD + r")?"
 REVERSED = WORD + r"," + GAP + r"+(?:" + WORD + r"|[A-ZÀ-Þ]\.)(?:" + GAP + r"+[A-ZÀ-Þ]\.)?"
-#: Words after which a person (intro) or an address (place) is named.
-CONTEXT = re.compile(
-    r"\b(?:(?P<intro>(?:letter|note|message|e-?mail)" + GAP + r"+from|agrees" + GAP + r"+with|seconds|seconded" + GAP + r"+by|(?:spoke|speaking)" + GAP + r"+for|asked" + GAP + r"+that|on" + GAP + r"+behalf" + GAP + r"+of|i" + GAP + r"+am|my" + GAP + r"+name" + GAP + r"+is|"
+FULL_LINE, REVERSED_LINE = re.compile(FULL_NAME), re.compile(REVERSED)
+LOWER_LINE = re.compile(r"([^\W\d_'’\-]+)(?: [a-z]\.)? [^\W\d_'’\-]{3,}")
+INITIAL = re.compile(r"[A-Za-z]\.,?")
+#: Words after which a person is named.
+INTRODUCED = re.compile(
+    r"\b(?:(?:letter|note|message|e-?mail)" + GAP + r"+from|agrees" + GAP + r"+with|seconds|seconded" + GAP + r"+by|(?:spoke|speaking)" + GAP + r"+for|asked" + GAP + r"+that|on" + GAP + r"+behalf" + GAP + r"+of|i" + GAP + r"+am|my" + GAP + r"+name" + GAP + r"+is|"
     r"(?:the|my|our|a)" + GAP + r"+(?:tenant|owner|neighbor|neighbour|architect|sponsor|planner|landlord|manager|applicant|attorney|engineer|friend|husband|wife|mother|father|sister|brother|son|daughter|principal|contractor|realtor|agent)s?,?|"
-    r"commissioner|supervisor|planner|president|secretary|director)|(?P<place>" + PLACE + r"))" + GAP + r"+",
+    r"commissioner|supervisor|planner|president|secretary|director)" + GAP + r"+",
     re.I,
 )
+#: Words after which an address stands.
+PLACED = re.compile(r"\b" + PLACE + GAP + r"+", re.I)
 NAMED = re.compile(r"(?P<n>" + REVERSED + r"(?=,|\s*$|;)|" + FULL_NAME + r")(?![\w@])")
 #: A name all in lower case; its first word must be a known first name.
 LOWER = re.compile(r"(?P<n>(?P<f>[a-zß-ÿ'’\-]{2,})(?:" + GAP + r"+[a-z]\.)?" + GAP + r"+[a-zß-ÿ'’\-]{3,}|[a-zß-ÿ'’\-]{3,}," + GAP + r"+(?P<g>[a-zß-ÿ'’\-]{2,}))(?![\w@])")
@@ -109,8 +116,7 @@ NO_NAME = frozenset(
 
 
 def _no_name(s: str) -> bool:
-    words = [w for w in s.split() if not re.fullmatch(r"[A-Za-z]\.,?", w)]
-    return any(w.strip(".,").casefold() in NO_NAME for w in words)
+    return any(w.strip(".,").casefold() in NO_NAME and not INITIAL.fullmatch(w) for w in s.split())
 
 
 def valid_phone(printed: str) -> bool:
@@ -156,7 +162,7 @@ class Finder:
         has_digit = any(c in text for c in "0123456789")
         if has_digit:
             numbers = [(c.start(), c.end()) for c in NUMBERISH.finditer(text)]
-            labelled = LABEL_HINT.search(text)
+            labelled = FIVE_DIGITS.search(text) and LABEL_HINT.search(text)
             if numbers or labelled:
                 for m in IDENTITY.finditer(text) if labelled else (m for a, b in numbers for m in IDENTITY.finditer(text, a, min(len(text), b + 2))):
                     g = "v" if m["v"] else "w"
@@ -167,15 +173,17 @@ class Finder:
                     if valid_phone(m[0]) and not re.search(r"(?:\bno\.?|resolution|motion|case|permit|bpa|#|\$)\s*$", text[max(0, m.start() - 12) : m.start()], re.I):
                         add(m.start(), m.end(), "phone")
         fields = self.signature(text, add)
-        contexts = list(CONTEXT.finditer(text))
+        introduced = list(INTRODUCED.finditer(text))
         if has_digit:
             after = any((x := low[max(0, m.start() - 14) : m.start()].split()) and x[-1].strip(".,") in STREET_ENDS for m in AFTER_HINT.finditer(text))
             for pattern in (TYPED, AFTER) if after else (TYPED,):
                 for m in pattern.finditer(text):
                     if m["s"].lower() not in ORDINARY:
                         add(m.start("a"), m.end("a"), "address")
-            for c in contexts:
-                if not c["place"]:
+            # where a person is introduced no address is looked for, and the other way round
+            starts = [c.start() for c in introduced]
+            for c in PLACED.finditer(text):
+                if any(c.start() <= at < c.end() for at in starts):
                     continue
                 for pattern in (BARE, BARE_AFTER):
                     m = pattern.match(text, c.end())
@@ -189,9 +197,7 @@ class Finder:
                     m = pattern.match(text, start, end)
                     if m and m["s"].lower() not in ORDINARY and not re.match(r"(?:call|tel|phone|cell|ph|fax|ext|page|case|unit|apt|suite|room|port|email|write|mobile|home|work)\b", m["s"], re.I):
                         add(m.start("a"), m.end("a"), "address")
-        for c in contexts:
-            if not c["intro"]:
-                continue
+        for c in introduced:
             start = HONOR.match(text, c.end()).end()
             m = NAMED.match(text, start)
             if m:
@@ -256,10 +262,10 @@ class Finder:
             if i and body:
                 shift = HONOR.match(body).end()
                 core = body[shift:]
-                low = core.islower() and re.fullmatch(r"([^\W\d_'’\-]+)(?: [a-z]\.)? [^\W\d_'’\-]{3,}", core)
+                low = core.islower() and LOWER_LINE.fullmatch(core)
                 if low and low[1] not in self.first_names:
                     low = None
-                if core and not _no_name(core) and (low or re.fullmatch(FULL_NAME, core) and (" " in core or shift) or re.fullmatch(REVERSED, core)):
+                if core and (low or FULL_LINE.fullmatch(core) and (" " in core or shift) or REVERSED_LINE.fullmatch(core)) and not _no_name(core):
                     at = line_start + line.index(body) + shift
                     add(at, at + len(core), "name")
                     fields_at = line_start + len(line) + 1
