@@ -671,7 +671,7 @@ def commenter_components(spark, d):
 def imputed_positions(spark, d):
     """Positions of spoken comments, the missing ones by the model; anonymous rows are left alone."""
     c = written(comments(spark, d, "channel", "text", "position", "is_anonymous").where("channel = 'spoken'").drop("channel"), "polarity")
-    scored = polarity.predict_positions(c, polarity.fit_positions(c, "text", "position"), "text")
+    scored = polarity.predict_positions(c, polarity.fit_positions(c, "text", "position", id_="comment_id"), "text")
     return polarity.impute(scored, "position", F.col("is_anonymous") == 1).select("comment_id", "predicted", "probability", "position_final", "position_source")
 
 
@@ -682,6 +682,35 @@ def release_table(spark, d):
     return out.select("comment_id", "channel", "item_id", "name_clean", "position", "campaign_key", "commenter_id", "text")
 
 
+@query(
+    r"""WITH q AS (SELECT doc_id, translate(replace(text, chr(13), ''), '’‘“”', chr(39) || chr(39) || '""') AS t FROM documents),
+             p AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '.*Page [0-9]+ of [0-9]+.*', '', 'g'), '(?m)^[ \t]*Last updated:.*$', '', 'g'),
+                                                 '(?m)^\f?Port Alder Planning Commission\s+[A-Za-z]+day, [A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}[ \t]*$', '', 'g') AS t FROM q),
+             m AS (SELECT doc_id, regexp_replace(replace(t, chr(12), chr(10)), '\?{3,}', ' ', 'g') AS t FROM p)
+        SELECT doc_id, regexp_replace(regexp_replace(t, '[ \t]+\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g') AS text FROM m"""
+)
+def furniture_off(spark, d):
+    """Documents without curly quotes, furniture of pages and runs of blank lines."""
+    t = X.collapse_blank(X.drop_furniture(X.fold_quotes(F.col("text"))))
+    return table(spark, d, "documents").select("doc_id", t.alias("text"))
+
+
+@query(
+    f"""WITH m AS (SELECT DISTINCT file, {O.printed_date('meeting_date')} AS day, regexp_extract(file, '((19|20)[0-9]{{6}})_', 1) AS k FROM meetings WHERE file IS NOT NULL),
+             e AS (SELECT *, CASE WHEN k <> '' THEN substr(k, 1, 4) || '-' || substr(k, 5, 2) || '-' || substr(k, 7, 2) END AS expected, strftime(day, '%Y-%m-%d') AS printed FROM m),
+             n AS (SELECT file, count(DISTINCT coalesce(printed, '?')) AS n FROM e GROUP BY file)
+        SELECT file, CASE WHEN n = 1 AND expected IS NOT NULL THEN expected ELSE printed END AS meeting_date FROM e JOIN n USING (file)"""
+)
+def reconciled_dates(spark, d):
+    """Dates of meetings, corrected by what the file's name announces."""
+    m = table(spark, d, "meetings").where("file IS NOT NULL").select("file", F.date_format(printed_date(F.col("meeting_date")), "yyyy-MM-dd").alias("meeting_date")).distinct()
+    m = m.withColumn("expected", minutes.expected_date(F.col("file"), F.lit("")))
+    return minutes.reconcile_dates(m).select("file", "meeting_date")
+
+
 @query(f"SELECT 'comments' AS stage, 'values:channel' AS metric, channel AS key, count(*)::BIGINT AS value FROM {O.COMMENTS} GROUP BY channel UNION ALL SELECT 'comments', 'rows', NULL, count(*) FROM {O.COMMENTS} UNION ALL SELECT 'comments', 'filled:channel', NULL, count(channel) FROM {O.COMMENTS}")
 def stage_metrics(spark, d):
     return A.metrics("comments", comments(spark, d, "channel"), ["channel"])
+
+
+from hearthline import catalog_stages  # noqa: E402, F401  (registers its queries; needs the names above)

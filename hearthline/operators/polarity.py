@@ -1,21 +1,22 @@
 """Filling missing positions with a text classifier: TF-IDF over one and two words, multinomial logistic regression.
 
-The model may be fitted on a bounded sample of labelled rows (``sample`` rows, a documented parameter); its word
-statistics and its predictions cover all rows.
+The classifier may be fitted on a bounded sample of labelled rows (``sample`` rows, a documented parameter); its word
+statistics are taken over all rows with a text, and its predictions cover all rows. Words and pairs of words are hashed
+into FEATURES places, so there is no vocabulary to cut and none to gather.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
+from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.text import model_text
 
-VOCABULARY, SAMPLE, THRESHOLD, MIN_CHARS = 50_000, 50_000, 0.70, 10
+FEATURES, SAMPLE, THRESHOLD, MIN_CHARS = 1 << 18, 50_000, 0.70, 10
 
 
 def _features() -> list:
@@ -23,28 +24,31 @@ def _features() -> list:
         RegexTokenizer(inputCol="_t", outputCol="_w", pattern=r"(?u)\b\w\w+\b", gaps=False),
         NGram(inputCol="_w", outputCol="_g", n=2),
         SQLTransformer(statement="SELECT *, concat(_w, _g) AS _all FROM __THIS__"),
-        CountVectorizer(inputCol="_all", outputCol="_tf", minDF=2, vocabSize=VOCABULARY),
-        IDF(inputCol="_tf", outputCol="_idf"),
+        HashingTF(inputCol="_all", outputCol="_tf", numFeatures=FEATURES),
+        IDF(inputCol="_tf", outputCol="_idf", minDocFreq=2),
         Normalizer(inputCol="_idf", outputCol="features", p=2.0),
     ]
 
 
-def fit_positions(rows: DataFrame, text: str, label: str, sample: int = SAMPLE, inverse_strength: float = 4.0):
-    """A fitted pipeline. At most ``sample`` labelled rows are used, drawn by a hash of their text, so equally at every size."""
-    labelled = rows.where(F.col(label).isNotNull() & (F.length(F.coalesce(F.col(text), F.lit(""))) >= MIN_CHARS)).select(model_text(F.col(text)).alias("_t"), F.col(label).alias("_label"))
+def fit_positions(rows: DataFrame, text: str, label: str, sample: int = SAMPLE, inverse_strength: float = 4.0, id_: str | None = None):
+    """(labels, fitted pipeline); None where fewer than two labels are known. At most about ``sample`` labelled rows train
+    the classifier, drawn by a hash of ``id_`` (of the text where no id is named), so equally at every size."""
+    enough = rows.where(F.length(F.coalesce(F.col(text), F.lit(""))) >= MIN_CHARS).select(model_text(F.col(text)).alias("_t"), F.col(label).alias("_label"), F.xxhash64(id_ or text).alias("_draw"))
+    labelled = enough.where("_label IS NOT NULL")
     n = labelled.count()
     if n == 0:
         return None
     if n > sample:
-        labelled = labelled.where(F.pmod(F.xxhash64("_t"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n)))
+        labelled = labelled.where(F.pmod("_draw", F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n)))
     kinds = labelled.groupBy("_label").agg(F.count(F.lit(1)).alias("_n"))
     total, k = kinds.agg(F.sum("_n"), F.count(F.lit(1))).collect()[0]
     if k < 2:
         return None
-    weighted = labelled.join(F.broadcast(kinds), "_label").withColumn("_weight", F.lit(float(total)) / (F.lit(float(k)) * F.col("_n")))
+    features = Pipeline(stages=_features()).fit(enough.select("_t"))
+    weighted = labelled.join(F.broadcast(kinds), "_label").withColumn("_weight", F.lit(float(total)) / (F.lit(float(k)) * F.col("_n")))  # a handful of labels
     index = StringIndexer(inputCol="_label", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(weighted)
-    model = Pipeline(stages=[*_features(), LogisticRegression(family="multinomial", weightCol="_weight", regParam=1.0 / (inverse_strength * total), elasticNetParam=0.0, standardization=False, maxIter=100)]).fit(index.transform(weighted))
-    return index.labels, model
+    learner = LogisticRegression(family="multinomial", weightCol="_weight", regParam=1.0 / (inverse_strength * total), elasticNetParam=0.0, standardization=False, maxIter=100)
+    return index.labels, PipelineModel([*features.stages, learner.fit(features.transform(index.transform(weighted)))])
 
 
 def predict_positions(rows: DataFrame, fitted, text: str) -> DataFrame:

@@ -165,12 +165,43 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
     raise RuntimeError("components did not settle")
 
 
-def blocked_pairs(names: DataFrame, keys: Sequence[Column], columns: Sequence[str], least: str) -> DataFrame:
-    """Pairs of rows that share any block key, the smaller ``least`` first, each once: an equi-join on exploded keys."""
-    rows = names.select(*columns, F.explode(F.array_distinct(F.array(*keys))).alias("_key")).where("_key IS NOT NULL")
-    a = rows.select("_key", *[F.col(c).alias(f"{c}_a") for c in columns])
-    b = rows.select("_key", *[F.col(c).alias(f"{c}_b") for c in columns])
-    return a.join(b, "_key").where(F.col(f"{least}_a") < F.col(f"{least}_b")).drop("_key").distinct()
+def blocked_pairs(names: DataFrame, keys: Sequence[Column], columns: Sequence[str], least: str, block: int = 2048) -> DataFrame:
+    """Pairs of rows that share any block key, the smaller ``least`` first, each once: an equi-join on exploded keys.
+
+    Only ``least``, which must be unique, goes through the self-join, where large blocks are cut (``pairs_within``); the
+    other columns follow by two joins.
+    """
+    rows = names.select(least, F.explode(F.array_distinct(F.array(*keys))).alias("_key")).where("_key IS NOT NULL")
+    pairs = pairs_within(rows, ["_key"], least, block).select(f"{least}_a", f"{least}_b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(names.select(*[F.col(c).alias(f"{c}_{side}") for c in columns]), f"{least}_{side}")
+    return pairs
+
+
+def edit_pairs(names: DataFrame, block: Column, name: str, most: int = 2) -> DataFrame:
+    """(name_a, name_b) of one block that may lie within ``most`` edits of each other, ignoring case; none that do is missed.
+
+    A name is cut into ``most`` + 1 segments; so many edits leave one of them whole, moved by at most as many places. The
+    shorter name of a pair is filed under its segments, the longer one looks for them at all places they can have moved
+    to, so a block is not compared pair by pair, however many names it holds.
+    """
+    rows = names.select(F.col(name).alias("_n"), block.alias("_b"), F.lower(name).alias("_s")).where("_b IS NOT NULL").distinct()
+    size, segments = F.length("_s"), most + 1
+
+    def begin(length: Column, i: Column) -> Column:
+        return F.floor(length * i / segments).cast("int")
+
+    def keys(length: Column, shifts: range) -> Column:
+        def key(i: Column) -> Column:
+            at, width = begin(length, i), begin(length, i + 1) - begin(length, i)
+            return F.array(*[F.when(at + d >= 0, F.struct(length.cast("int").alias("len"), i.cast("int").alias("i"), F.substring("_s", at + d + 1, width).alias("t"))) for d in shifts])
+
+        return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(most)), key)), lambda k: k.isNotNull())
+
+    filed = rows.select("_b", F.col("_n").alias("_x"), F.explode(keys(size, range(0, 1))).alias("_k"))
+    looking = rows.select("_b", F.col("_n").alias("_y"), F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.greatest(size - most, F.lit(0)), size), lambda n: keys(n, range(-most, most + 1)))))).alias("_k"))
+    met = filed.join(looking, ["_b", "_k"]).where("_x <> _y")
+    return met.select(F.least("_x", "_y").alias(f"{name}_a"), F.greatest("_x", "_y").alias(f"{name}_b")).distinct()
 
 
 def resolve_chain(edges: DataFrame, source: str, target: str, max_rounds: int = 20) -> DataFrame:

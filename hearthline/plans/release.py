@@ -10,6 +10,7 @@ from hearthline.functions.rules import lookup
 from hearthline.functions.text import blank_to_null, scrub_contacts
 from hearthline.operators.identity import name_key, resolve_commenters
 from hearthline.operators.relational import keep_first, keep_first_resolvable, split_mixed, union_aligned
+from hearthline.session import written
 
 POSITION = {"+": "support", "-": "oppose", "=": "neutral"}
 LEAD = ("comment_id", "channel", "meeting_date", "item_id", "id_parent", "name_clean", "position", "position_source", "text")
@@ -49,5 +50,6 @@ def release(comments: DataFrame) -> DataFrame:
     for c in ("text", "comment", "subject"):
         both = both.withColumn(c, scrub_contacts(F.col(c)))
     keyed = both.withColumn("_n", name_key(F.col("name_clean"))).withColumn("_p", case_number(F.col("id_parent"))).withColumn("_y", F.year(printed_date(F.col("meeting_date"))))
-    who = resolve_commenters(keyed.where("_n <> ''").select(F.col("_n").alias("name"), F.col("_p").alias("project"), F.col("_y").alias("year")))
+    # resolving reads its table several times: a narrow one, written once
+    who = resolve_commenters(written(keyed.where("_n <> ''").select(F.col("_n").alias("name"), F.col("_p").alias("project"), F.col("_y").alias("year")).distinct(), "release-names"))
     return keyed.join(who.withColumnRenamed("name", "_n"), "_n", "left").drop("_n", "_p", "_y")

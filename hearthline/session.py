@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,16 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables written in this process, by session, for ``drop_written``.
+_written: list[str] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the cluster's own setting, else (tests only) a temporary folder."""
+    """The shared folder for cut lineage: the cluster's own setting; a temporary folder only on a local master, where it is removed at the end."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jsc.isDefined():
-            return jsc.get()
-        root = tempfile.mkdtemp(prefix="hearthline-ckpt-")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    if root:
+        return root
+    jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if jsc.isDefined():
+        return jsc.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="hearthline-ckpt-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -48,9 +57,20 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Remove the tables that this process has written; call it when no result that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    count = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        count += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return count
+
+
 def spread(df: DataFrame, per_core: int = 1) -> DataFrame:
     """Redistribute rows only if the scan yields fewer partitions than there are cores."""
     want = df.sparkSession.sparkContext.defaultParallelism * per_core

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from hearthline.functions.text import html_text, normal_text
+from hearthline.functions.text import html_text, normal_text, unescape
 
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "kind", "label", "row_text", "file", "status")])
 
@@ -70,10 +70,60 @@ def merged_by_source(*sources: DataFrame) -> DataFrame:
     return out.groupBy("url").agg(F.min_by(F.struct(*rest), "_src").alias("_r")).select("url", "_r.*")
 
 
+#: Local parts that name an office, not a person.
+OFFICES = ["info", "contact", "planning", "commissions", "secretary", "webmaster", "records", "office", "desk", "help", "news", "media", "admin"]
+
+
 def emails_in_page(pages: DataFrame, source: str = "html") -> DataFrame:
-    """(url, name, email): people whose printed address is first.last@host."""
-    found = pages.select("url", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(source), F.lit(r"([a-z][a-z'-]+\.[a-z][a-z'-]{2,}@[a-z0-9.-]+[a-z])"), 1))).alias("email"))
-    return found.select("url", F.initcap(F.replace(F.element_at(F.split("email", "@"), 1), F.lit("."), F.lit(" "))).alias("name"), "email")
+    """(url, name, email): people whose printed address is first.last@host; entities are written out, offices left out."""
+    plain = F.lower(unescape(F.col(source)))
+    found = pages.select("url", F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit(r"([a-z][a-z'-]+\.[a-z][a-z'-]{2,}@[a-z0-9.-]+[a-z])"), 1))).alias("email"))
+    parts = F.split(F.element_at(F.split("email", "@"), 1), r"\.")
+    return found.where(~F.arrays_overlap(parts, F.array(*[F.lit(x) for x in OFFICES]))).select("url", F.initcap(F.array_join(parts, " ")).alias("name"), "email")
+
+
+def people_in_tables(pages: DataFrame, source: str = "html") -> DataFrame:
+    """(url, name, email, title) of table rows of two cells or more whose first cell is a name of two to four capitalised words."""
+    rows = pages.select("url", F.explode(F.regexp_extract_all(source, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)).alias("_row"))
+    cells = F.transform(F.regexp_extract_all("_row", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1), lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"\s+", " ")))
+    rows = rows.select("url", cells.alias("c")).where(F.size("c") >= 2).select("url", "c", F.element_at("c", 1).alias("name"))
+    email = F.try_element_at(F.filter("c", lambda c: c.rlike(r"^\S+@\S+\.\S+$")), F.lit(1))
+    title = F.try_element_at(F.filter(F.slice("c", 2, 100), lambda c: (F.length(c) <= 60) & (c != "") & ~c.contains("@")), F.lit(1))
+    tokens = F.split("name", " ")
+    named = F.size(tokens).between(2, 4) & F.forall(tokens, lambda t: t.rlike(r"^\p{Lu}"))
+    return rows.where(named).select("url", "name", email.alias("email"), title.alias("title"))
+
+
+MONTH_LABEL = r"(?i)^(?:january|february|march|april|may|june|july|august|september|october|november|december)\b|^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2,4}$"
+
+
+def second_level(index: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(url, label) of the links on pages that an index leads to, where the label looks like a month or date: one self-join on the page."""
+    return anchors.join(index.select(F.col("url").alias("page")).distinct(), "page", "left_semi").where(F.col("label").rlike(MONTH_LABEL)).groupBy("url").agg(F.min("label").alias("label"))
+
+
+def mirrored(base: str, url: Column) -> Column:
+    """Address of a page on a mirror."""
+    return F.concat(F.lit(base), F.replace(url, F.lit("="), F.lit("%3D")))
+
+
+def to_retry(manifest: DataFrame, hosts: dict[str, str]) -> DataFrame:
+    """Rows of a manifest that failed, with ``retry_url`` on another host where one is known."""
+    target = F.col("url")
+    for old, new in hosts.items():
+        target = F.replace(target, F.lit(f"://{old}"), F.lit(f"://{new}"))
+    return manifest.where(F.col("status").startswith("error")).withColumn("retry_url", target)
+
+
+def snapshot_dates(spans: DataFrame, first: str, last: str, months: int) -> DataFrame:
+    """``spans`` with one row and date ``at`` for every so many months from first to last; empty spans give none."""
+    known = spans.where(F.col(first) <= F.col(last))
+    return known.withColumn("at", F.explode(F.sequence(F.col(first).cast("date"), F.col(last).cast("date"), F.expr(f"INTERVAL {months} MONTH"))))
+
+
+def snapshots_once(found: DataFrame) -> DataFrame:
+    """Rows (snapshot, source, name, ...) once: several dates asked for may lead to one snapshot."""
+    return found.dropDuplicates(["snapshot", "source", "name"])
 
 
 class _Page(InputPartition):

@@ -181,3 +181,54 @@ def test_classifier_learns_and_survives_nothing(spark):
     right = sum((r.position_final == ("support" if r.id % 2 else "oppose")) for r in out if r.id != 999 and r.position is None)
     assert right >= 19 and next(r for r in out if r.id == 999).position_final is None
     assert polarity.fit_positions(df.limit(0), "text", "position") is None
+
+
+def test_pairs_of_a_hot_key_are_made_in_blocks(spark):
+    rows = [("hot", i) for i in range(41)] + [("b", 1), ("b", 2), ("c", 1), (None, 5), ("b", None)]
+    got = [(r.k, r.v_a, r.v_b) for r in relational.pairs_within(spark.createDataFrame(rows, "k string, v int"), ["k"], "v", 8).collect()]
+    want = {("hot", i, j) for j in range(41) for i in range(j)} | {("b", 1, 2)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_edit_pairs_miss_none(spark):
+    import random
+
+    rnd = random.Random(6)
+    base = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(1, 14))) for _ in range(60)]
+    names_ = set(base)
+    for b in base:
+        t = list(b)
+        for _ in range(rnd.randint(1, 2)):
+            at = rnd.randrange(len(t) + 1)
+            t[at : at + rnd.randint(0, 1)] = rnd.choice(["", "x", "a"])
+        names_.add("".join(t))
+    df = spark.createDataFrame([(n, n[:1]) for n in sorted(names_)], "name string, b string")
+    got = {(r.name_a, r.name_b) for r in relational.edit_pairs(df, F.when(F.length("name") > 0, F.col("b")), "name").collect()}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i] + [0] * len(b)
+            for j, y in enumerate(b, 1):
+                row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+        return row[-1]
+
+    want = {(a, b) for a in names_ for b in names_ if a and a < b and a[0] == b[0] and edits(a, b) <= 2}
+    assert want and want <= got
+
+
+def test_row_ids_roles_and_splits(spark):
+    from hearthline.operators import stages
+
+    rows = spark.createDataFrame([(f"k{i:03d}",) for i in range(57)] + [("k000a",)], "k string")
+    got = {r.k: r.id for r in stages.row_ids(rows, ["k"], "id", "s%03d").collect()}
+    assert [got[k] for k in sorted(got)] == [f"s{i:03d}" for i in range(58)]
+    c = spark.createDataFrame([(1, "ann lee", 2000, None), (2, "ann lee", 1990, "own"), (3, "bob", 2000, None), (4, None, 2000, "own")], "i int, name_l string, year int, stated string")
+    roster = spark.createDataFrame([("Ann Lee", "planner", 1995), ("Ann Lee", "zoner", None), (" ", "x", None)], "name string, role string, floor int")
+    hand = spark.createDataFrame([("bob", "clerk")], "name string, role string")
+    groups = spark.createDataFrame([("clerk", "staff"), ("planner", "staff")], "role string, grp string")
+    out = stages.assign_roles(c, [stages.RoleSource("hand", table=hand), stages.RoleSource("roster", table=roster, floor=True), stages.RoleSource("stated", column=F.col("stated"))], groups=groups)
+    assert {r.i: (r.role, r.role_source, r.role_group) for r in out.collect()} == {1: ("planner", "roster", "staff"), 2: ("own", "stated", "own"), 3: ("clerk", "hand", "staff"), 4: ("own", "stated", "own")}
+    held = stages.office_holders(spark.createDataFrame([("Dufty", "Supervisor"), ("Dufty", None)], "name_clean string, title string"), spark.createDataFrame([("dufty", "Bevan Dufty")], "alias string, canonical string"))
+    assert sorted(r.name_clean for r in held.collect()) == ["Bevan Dufty", "Dufty"]
+    assert stages.without(c, ["stated", "missing"]).columns == ["i", "name_l", "year"]

@@ -75,3 +75,17 @@ def test_stream_counts_messages_once(spark, tmp_path):
     stream = incremental.new_files(spark, str(tmp_path / "in"), df.schema)
     incremental.run_available(incremental.messages_once(stream, ["id"]), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_people_of_pages_and_crawl_plans(spark):
+    html = "<table><tr><td>Ann Lee</td><td><a>ann.lee@x.example</a></td><td>Planner &amp; clerk</td></tr><tr><td>total</td><td>5</td></tr><tr><td>Bob Q. Ray</td><td></td></tr></table> mail ann.lee&#64;x.example or planning.desk@x.example"
+    pages = spark.createDataFrame([("u", html)], "url string, html string")
+    assert {(r.name, r.email) for r in readers.emails_in_page(pages).collect()} == {("Ann Lee", "ann.lee@x.example")}
+    assert {(r.name, r.email, r.title) for r in readers.people_in_tables(pages).collect()} == {("Ann Lee", "ann.lee@x.example", "Planner &amp; clerk"), ("Bob Q. Ray", None, None)}
+    anchors = spark.createDataFrame([("p1", "a", "May 3"), ("p1", "b", "About"), ("p2", "c", "June 1")], "page string, url string, label string")
+    assert [r.url for r in readers.second_level(spark.createDataFrame([("p1",)], "url string"), anchors).collect()] == ["a"]
+    m = spark.createDataFrame([("http://a.x/1", "error 503"), ("http://b.x/2", "ok")], "url string, status string")
+    assert [(r.url, r.retry_url) for r in readers.to_retry(m, {"a.x": "m.x"}).collect()] == [("http://a.x/1", "http://m.x/1")]
+    assert spark.range(1).select(readers.mirrored("http://m/", F.lit("a?b=c"))).first()[0] == "http://m/a?b%3Dc"
+    snaps = spark.createDataFrame([("2020-01-01", "s", "n", 1), ("2020-01-01", "s", "n", 1)], "snapshot string, source string, name string, k int")
+    assert readers.snapshots_once(snaps).count() == 1
