@@ -525,40 +525,56 @@ def normal_texts(spark, d):
     return spread(table(spark, d, "documents")).select("doc_id", X.normal_text(F.col("text")).alias("text"))
 
 
-@query("SELECT file, meeting_date, start_time, end_time FROM (SELECT DISTINCT file, strftime(try_strptime(meeting_date, '%Y-%m-%d'), '%Y-%m-%d') AS meeting_date, start_time, end_time FROM meetings) WHERE meeting_date IS NOT NULL")
+@query(
+    f"""WITH m AS (SELECT DISTINCT file, {O.printed_date('meeting_date')} AS day, start_time, end_time, meeting_type, staff_in_attendance AS s, commissioners_present AS p FROM meetings)
+        SELECT file, strftime(day, '%Y-%m-%d') AS meeting_date, start_time, end_time, CASE WHEN lower(meeting_type) IN ('special', 'joint') THEN lower(meeting_type) ELSE 'regular' END AS meeting_type,
+               nullif(substr(trim(regexp_replace(s, '\\s+', ' ', 'g')), 1, 1500), '') AS staff_in_attendance, nullif(substr(trim(regexp_replace(p, '\\s+', ' ', 'g')), 1, 500), '') AS commissioners_present FROM m WHERE day IS NOT NULL"""
+)
 def meeting_heads(spark, d):
-    """Heads of minutes written from the meetings table, read back."""
-    m = table(spark, d, "meetings").where(F.col("meeting_date").rlike(r"^\d{4}-\d{2}-\d{2}$")).select("file", "meeting_date", "start_time", "end_time").distinct()
-    day = F.col("meeting_date").cast("date")
+    """Heads of minutes written from the whole meetings table in three layouts of the date, read back."""
+    m = table(spark, d, "meetings").select("file", printed_date(F.col("meeting_date")).alias("day"), "start_time", "end_time", "meeting_type", "staff_in_attendance", "commissioners_present").distinct().where("day IS NOT NULL")
+    day, layout = F.col("day"), F.dayofmonth("day") % 3
 
     def spoken(c):
         h, mm = F.substring(c, 1, 2).cast("int"), F.substring(c, 4, 2)
         return F.concat(F.when(h % 12 == 0, 12).otherwise(h % 12).cast("string"), F.lit(":"), mm, F.when(h >= 12, " PM").otherwise(" AM"))
 
-    head = F.concat(F.lit("MINUTES OF REGULAR MEETING\n"), F.date_format(day, "EEEE, MMMM d, yyyy"), F.lit("\n"), F.coalesce(spoken(F.col("start_time")), F.lit("")), F.lit("\n\nA. REGULAR CALENDAR\n"))
-    head = F.concat(head, F.rpad(F.lit("The hearing."), 240, "."))  # the start time is looked for near the date only
-    text = F.concat(head, F.coalesce(F.concat(F.lit("\nADJOURNMENT: "), spoken(F.col("end_time"))), F.lit("")))
+    kind = F.upper(F.col("meeting_type"))
+    dated = F.when(layout == 0, F.date_format(day, "EEEE, MMMM d, yyyy")).when(layout == 1, F.date_format(day, "MMMM d, yyyy")).otherwise(F.upper(F.date_format(day, "EEEE MMMM d yyyy")))
+    head = F.concat(F.lit("MINUTES OF "), F.when(kind.isin("SPECIAL", "JOINT"), kind).otherwise(F.lit("REGULAR")), F.lit(" MEETING\n"), dated, F.lit("\n"), F.coalesce(spoken(F.col("start_time")), F.lit("")))
+    head = F.concat(head, F.lit("\n"), F.rpad(F.lit("The hearing."), 240, "."))  # the start time is looked for near the date only
+    present = F.concat(F.when(layout == 0, "\nCOMMISSIONERS PRESENT: ").otherwise("\nPRESENT: "), F.coalesce("commissioners_present", F.lit("")), F.lit("\nCOMMISSIONERS ABSENT: none\n"))
+    staff = F.concat(F.lit("\nSTAFF IN ATTENDANCE: "), F.coalesce("staff_in_attendance", F.lit("")), F.lit("\n\nSPEAKER KEY: + in support\n\nA. REGULAR CALENDAR\n"))
+    text = F.concat(head, present, staff, F.coalesce(F.concat(F.lit("\nADJOURNMENT: "), spoken(F.col("end_time"))), F.lit("")))
     docs = minutes.split_meetings(m.select("file", text.alias("text")))
     got = minutes.meeting_head(F.col("text"))
-    return docs.select("file", *[got[c].alias(c) for c in ("meeting_date", "start_time", "end_time")])
-
-
-CLEAN = "trim(regexp_replace({}, '[^A-Za-z0-9 .,;]', ' ', 'g'))"
+    return docs.select("file", *[c.alias(n) for n, c in got.items()])
 
 
 @query(
-    """SELECT file, record_id, n::INT AS item_seq, section, action FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY item_id) - 1 AS n FROM (SELECT DISTINCT item_id, file, trim(record_id) AS record_id, trim(section) AS section,
-              nullif(trim(regexp_replace(action, '[^A-Za-z ]', ' ', 'g')), '') AS action FROM items WHERE regexp_matches(trim(record_id), '^[0-9]{4}[.-][0-9]{4,6}[A-Z]*$') AND regexp_matches(section, '^(REGULAR|CONSENT) CALENDAR$')))"""
+    """WITH i AS (SELECT DISTINCT item_id, file, trim(record_id) AS r, trim(section) AS section, nullif(trim(regexp_replace(action, '\\s+', ' ', 'g')), '') AS action, item_id % 4 AS w FROM items WHERE section IS NOT NULL)
+        SELECT file, row_number() OVER (PARTITION BY file ORDER BY item_id)::INT - 1 AS item_seq, CASE w WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN '' ELSE 'C' END AS section_letter, section,
+               (item_id % 90 + 1) || CASE WHEN w = 2 THEN 'a' ELSE '' END AS item_num, coalesce(r, '') AS record_id, action FROM i"""
 )
 def agenda_round_trip(spark, d):
-    """Minutes written from the items table, one document per file, split, parsed and compared item by item."""
-    i = table(spark, d, "items").where(F.trim("record_id").rlike(r"^[0-9]{4}[.-][0-9]{4,6}[A-Z]*$") & F.col("section").rlike("^(REGULAR|CONSENT) CALENDAR$"))
-    i = i.select("item_id", "file", F.trim("record_id").alias("record_id"), F.trim("section").alias("section"), F.trim(F.regexp_replace("action", "[^A-Za-z ]", " ")).alias("action")).distinct()
-    one = F.concat(F.lit("A. "), "section", F.lit("\n1. "), "record_id", F.lit(" (staff)\nThe request\nSPEAKERS: + Ann Lee\n"), F.when(F.coalesce("action", F.lit("")) != "", F.concat(F.lit("ACTION: "), "action", F.lit("\n"))).otherwise(""))
+    """Minutes written from the whole items table, one document per file, in four layouts of titles, items and labels, parsed and compared item by item.
+
+    Titles stand behind a letter, below it, without one, or over two lines; items begin with a record, a contact or a title
+    in capitals, on the line of their number or below it; labels have their colon behind them, a line below, or none.
+    """
+    i = table(spark, d, "items").where("section IS NOT NULL").select("item_id", "file", F.trim("record_id").alias("r"), F.trim("section").alias("section"), F.trim(F.regexp_replace("action", r"\s+", " ")).alias("action")).distinct()
+    w, nl = F.col("item_id") % 4, F.lit("\n")
+    title = F.when(w == 0, F.concat(F.lit("A. "), "section")).when(w == 1, F.concat(F.lit("B.\n\n"), "section")).when(w == 2, F.col("section")).otherwise(F.concat(F.lit("C.  "), F.regexp_replace("section", "^(\\S+) ", "$1\n")))
+    number = F.concat((F.col("item_id") % 90 + 1).cast("string"), F.when(w == 2, "a").otherwise(""))
+    contact = F.lit("(A. STARR: (415) 555-0100)")
+    record = F.when(w == 0, F.concat(number, F.lit(". "), "r", F.lit(" "), contact)).when(w == 1, F.concat(number, nl, "r")).otherwise(F.concat(F.lit("  "), number, F.lit(". "), "r"))
+    bare = F.concat(number, F.lit(". "), F.when(w % 2 == 0, contact).otherwise(F.lit("LAND ACKNOWLEDGEMENT")))
+    label = F.when(w == 0, "ACTION: ").when(w == 1, "ACTION\n: ").when(w == 2, "ACTION\n").otherwise("Action: ")
+    one = F.concat(title, nl, F.coalesce(record, bare), F.lit("\nThe request\nSPEAKERS: + Ann Lee\n"), F.when(F.coalesce("action", F.lit("")) != "", F.concat(label, F.col("action"), nl)).otherwise(""))
     docs = i.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("item_id", one.alias("t")))).alias("p"))  # the items of one meeting's file
     docs = docs.select("file", F.concat(F.lit("MINUTES OF REGULAR MEETING\n\n"), F.array_join(F.transform("p", lambda x: x["t"]), "\n")).alias("text"))
     got = minutes.agenda_items(minutes.split_meetings(docs))
-    return got.select("file", "record_id", "item_seq", "section", F.nullif("action", F.lit("")).alias("action"))
+    return got.select("file", "item_seq", "section_letter", "section", "item_num", "record_id", F.nullif("action", F.lit("")).alias("action"))
 
 
 @query()
