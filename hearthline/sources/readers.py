@@ -127,16 +127,19 @@ def snapshots_once(found: DataFrame) -> DataFrame:
 
 
 class _Page(InputPartition):
-    def __init__(self, offset: int, limit: int):
+    """Every ``step``-th page from ``offset`` on; with no step, that page only."""
+
+    def __init__(self, offset: int, limit: int, step: int = 0):
         super().__init__(offset)
-        self.offset, self.limit = offset, limit
+        self.offset, self.limit, self.step = offset, limit, step
 
 
 class PagedSource(DataSource):
     """A paged table service as a Spark source: one partition per page, columns pruned at the service.
 
     Options: ``fetch`` ("module:function" called with (resource, offset, limit, columns), returning rows), ``resource``,
-    ``rows`` (how many there are), ``page``. The network call itself is the deployment's.
+    ``page``, and ``rows`` if it is known how many there are; else ``lanes`` partitions read on by turns until a page is
+    short. The network call itself is the deployment's.
     """
 
     @classmethod
@@ -151,13 +154,21 @@ class PagedSource(DataSource):
 
         class Reader(DataSourceReader):
             def partitions(self):
-                page = int(options.get("page", "50000"))
-                return [_Page(at, page) for at in range(0, int(options["rows"]), page)]
+                page, lanes = int(options.get("page", "50000")), int(options.get("lanes", "4"))
+                if "rows" in options:
+                    return [_Page(at, page) for at in range(0, int(options["rows"]), page)]
+                return [_Page(k * page, page, lanes * page) for k in range(lanes)]
 
             def read(self, partition):
                 import importlib
 
                 module, function = options["fetch"].split(":")
-                yield from getattr(importlib.import_module(module), function)(options.get("resource", ""), partition.offset, partition.limit, [f.name for f in schema.fields])
+                fetch, at = getattr(importlib.import_module(module), function), partition.offset
+                while True:
+                    rows = list(fetch(options.get("resource", ""), at, partition.limit, [f.name for f in schema.fields]))
+                    yield from rows
+                    if not partition.step or len(rows) < partition.limit:
+                        return
+                    at += partition.step
 
         return Reader()

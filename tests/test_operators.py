@@ -181,6 +181,8 @@ def test_classifier_learns_and_survives_nothing(spark):
     right = sum((r.position_final == ("support" if r.id % 2 else "oppose")) for r in out if r.id != 999 and r.position is None)
     assert right >= 19 and next(r for r in out if r.id == 999).position_final is None
     assert polarity.fit_positions(df.limit(0), "text", "position") is None
+    report = {r.position: r for r in polarity.report(polarity.predict_positions(df, polarity.fit_positions(df, "text", "position", id_="id"), "text"), "position", 0.5).collect()}
+    assert {k: (r.n, r.n_right, r.n_kept, r.n_kept_right) for k, r in report.items()} == {"support": (100,) * 4, "oppose": (80,) * 4}
 
 
 def test_pairs_of_a_hot_key_are_made_in_blocks(spark):

@@ -56,6 +56,9 @@ def test_paged_source(spark):
     spark.dataSource.register(readers.PagedSource)
     df = spark.read.format("paged").schema("id int, name string").option("fetch", "tests.test_sources:rows_of").option("resource", "r").option("rows", "25").option("page", "10").load()
     assert df.rdd.getNumPartitions() == 3 and df.count() == 25 and df.where("id = 24").first().name == "r24"
+    reader = spark.read.format("paged").schema("id int, name string").option("fetch", "tests.test_sources:rows_of").option("page", "4")
+    for lanes in ("1", "2", "9"):  # without a row count, pages are read until one is short
+        assert sorted(r.id for r in reader.option("lanes", lanes).load().collect()) == list(range(25))
 
 
 def test_conform_and_release(spark, tmp_path):
