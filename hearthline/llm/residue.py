@@ -57,6 +57,8 @@ DUMMY_WORDS = frozenset("lorem ipsum dolor amet consectetur adipiscing eiusmod i
 COMMON_WORDS = frozenset("sit elit sed do tempor ut et magna enim ad minim quis nisi ex ea commodo duis aute irure in velit esse eu nulla sint non sunt culpa qui officia anim id est".split())
 #: A word is a dummy word if it is this much more often among dummy words than its share of all its uses, and so frequent there.
 DUMMY_PURITY, DUMMY_LEAST, DUMMY_SHARE = 0.2, 3, 2000
+#: Ordinary words that a sentence of dummy text may hold.
+ORDINARY_SHARE = 0.2
 #: A run of dummy words: how many, how many of them that no ordinary language uses, strangers allowed in between.
 RUN_WORDS, RUN_RARE, RUN_MISS = 6, 3, 1
 DUMMY_PHRASES = re.compile(
@@ -89,7 +91,8 @@ SIGNS = {
             r"(?:request|connection|gateway) timed? ?-?out|too many requests|(?:document|page|file) you requested (?:could not|cannot) be (?:located|found)|permission denied|fatal error|unhandled exception)",
             re.I,
         ),
-        ("http", "not found", "gateway", "forbidden", "unavailable", "server error", "fatal error", "unauthorized", "bad request", " gone", "database", "viewstate", "session", "went wrong", "access denied", "access is denied", "permission denied", "timed out", "timed-out", "time out", "time-out", "timeout", "timedout", "too many", "could not be", "cannot be", "no encontrada", "exception"),
+        ("http error", "http status", "not found", "bad gateway", "forbidden", "gateway time", "unavailable", "server error", "unauthorized", "bad request", "too many requests", "gone", "no encontrada", "database connection", "database error", "viewstate",
+         "session expired", "session has expired", "session timed", "session has timed", "went wrong", "access denied", "access is denied", "request time", "connection time", "you requested could not be", "you requested cannot be", "permission denied", "fatal error", "unhandled exception"),
     ),
     "script_notice": (
         re.compile(
@@ -98,7 +101,7 @@ SIGNS = {
             r"cookies and scripting must be|checking your browser",
             re.I,
         ),
-        ("script", "browser", "cookies"),
+        ("javascript", "java script", " script", "noscript", "browser", "scripting", "script is", "script are", "scripts is", "scripts are"),
     ),
 }
 WORD = re.compile(r"[^\W_]+")
@@ -112,8 +115,8 @@ REST_WORDS = 12
 WORDING, WORDING_DOCUMENTS, WORDING_SHARE = 3, 3, 0.05
 
 
-def signs_in(text: str, low: str) -> dict[str, tuple[list[str], list[bool]]]:
-    """Label -> (words, whether each belongs to a sign) for the signs that occur in a text."""
+def signs_in(low: str) -> dict[str, tuple[list[str], list[bool]]]:
+    """Label -> (words, whether each belongs to a sign) for the signs that occur in a text in lower case."""
     out, folded = {}, None
     for label, (sign, hints) in SIGNS.items():
         if any(h in low for h in hints):
@@ -146,16 +149,16 @@ def has_run(words: list[str], dummy: frozenset[str]) -> bool:
     return False
 
 
-def label_of(text: str | None, dummy: frozenset[str] = DUMMY_WORDS) -> tuple[str | None, bool]:
+def label_of(text: str | None, dummy: frozenset[str] = DUMMY_WORDS, signs: dict[str, tuple[list[str], list[bool]]] | None = None) -> tuple[str | None, bool]:
     """(trusted label or None, whether the whole document is residue) of one text, by its own signs alone."""
     if not text or not text.strip():
         return None, False
     low = text.lower()
-    for label, (words, inside) in signs_in(text, low).items():
+    for label, (words, inside) in (signs_in(low) if signs is None else signs).items():
         if len({w for w, i in zip(words, inside) if not i}) <= REST_WORDS:
             return label, True
     words = None
-    phrase = any(h in low for h in DUMMY_HINTS) and DUMMY_PHRASES.search(low)
+    phrase = DUMMY_PHRASES.search(low) if any(h in low for h in DUMMY_HINTS) else None
     if phrase or len(dummy.intersection(words := WORD.findall(low))) >= 2 and has_run(words, dummy):
         words = words or WORD.findall(low)
         return "filler", sum(w in dummy or w in COMMON_WORDS for w in words) >= 0.6 * len(words)
@@ -167,10 +170,10 @@ def label_of(text: str | None, dummy: frozenset[str] = DUMMY_WORDS) -> tuple[str
 # ------------------------------------------------------------------ words of dummy text
 
 
-def dummy_words(texts: DataFrame) -> frozenset[str]:
-    """The standard dummy words and those that keep company with them, by counts over all texts of column ``text``."""
+def _company(ordinary: frozenset[str]):
+    """Counts of the words of sentences with standard dummy words, sentences that hold ordinary words left out."""
 
-    def company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -179,14 +182,27 @@ def dummy_words(texts: DataFrame) -> frozenset[str]:
                     for sentence in SENTENCE.split(low):
                         words = WORD.findall(sentence)
                         seeds = DUMMY_WORDS.intersection(words)
-                        if len(words) >= RUN_WORDS and (len(seeds) >= 3 or "lorem" in seeds or "ipsum" in seeds):
+                        if len(words) >= RUN_WORDS and (len(seeds) >= 3 or "lorem" in seeds or "ipsum" in seeds) and sum(w in ordinary for w in words) <= ORDINARY_SHARE * len(words):
                             counts.update(w for w in words if w.isalpha())
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    near = texts.mapInArrow(company, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).persist()
+    return run
+
+
+def _found_with(texts: DataFrame, ordinary: frozenset[str]) -> dict[str, int]:
+    near = texts.mapInArrow(_company(ordinary), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).persist()
     total = near.agg(F.sum("n")).collect()[0][0] or 0
     found = {r["word"]: r["n"] for r in near.where(F.col("n") >= max(DUMMY_LEAST, total / DUMMY_SHARE)).collect()}
     near.unpersist()
+    return found
+
+
+def dummy_words(texts: DataFrame) -> frozenset[str]:
+    """The standard dummy words and those that keep company with them, by counts over all texts of column ``text``.
+
+    Words that are mostly met elsewhere are ordinary; a sentence that mentions dummy words among ordinary ones says nothing.
+    """
+    found = _found_with(texts, frozenset())
     wanted = sorted(set(found) - DUMMY_WORDS - COMMON_WORDS)
     if not wanted:
         return DUMMY_WORDS
@@ -205,7 +221,9 @@ def dummy_words(texts: DataFrame) -> frozenset[str]:
         yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(counts, pa.int64())], ["at", "n"])
 
     everywhere = {r["at"]: r["n"] for r in texts.mapInArrow(uses, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()}
-    return DUMMY_WORDS | {wanted[k] for k, ok in zip(place.tolist(), alone) if ok and found[wanted[k]] >= DUMMY_PURITY * everywhere.get(k, 0)}
+    uses_of = {wanted[k]: everywhere.get(k, 0) for k, ok in zip(place.tolist(), alone) if ok}
+    ordinary = frozenset(w for w, n in uses_of.items() if found[w] < DUMMY_PURITY * n)
+    return DUMMY_WORDS | {w for w, n in _found_with(texts, ordinary).items() if n >= DUMMY_PURITY * uses_of.get(w, n / DUMMY_PURITY + 1)}
 
 
 # ------------------------------------------------------------------ one pass over the texts
@@ -238,7 +256,9 @@ def _examine(dummy: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            labels, signs = zip(*[(label_of(t, dummy), [{"label": k, "words": w, "inside": i} for k, (w, i) in signs_in(t, t.lower()).items()] if t else []) for t in texts]) if texts else ((), ())
+            found = [signs_in(t.lower()) if t else {} for t in texts]
+            labels = [label_of(t, dummy, s) for t, s in zip(texts, found)]
+            signs = [[{"label": k, "words": w, "inside": i} for k, (w, i) in s.items()] for s in found]
             prints, hashes, bands = [], [], []
             for _, h, bounds in word_hashes(texts, fold_digits=True):
                 shingles, cut = shingled(h, bounds, SHINGLE)
@@ -247,7 +267,7 @@ def _examine(dummy: frozenset[str]):
                 bands += list(keys_of(least_hashes(shingles, cut), PICK, BAND_SALT).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in labels], pa.string()), pa.array([x for _, x in labels], pa.bool_()), pa.array(prints, pa.string()), pa.array(np.concatenate(hashes) if hashes else [], pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(list(signs), pa.list_(_SIGN))],
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.list_(_SIGN))],
                 ["doc_id", "label", "pure", "print", "simhash", "bands", "signs"],
             )
 

@@ -256,6 +256,8 @@ def test_words_and_wording_are_learned_from_the_corpus(spark):
     rows += [(20 + i, f"404 Not Found\nGo back to the start page.{' Now.' if i else ''}") for i in range(4)]
     rows += [(30, "500 internal server error\nThe upstream relay gave no answer in time today."), (31, "Go back to the start page. 404 not found. Ask the desk clerk upstairs for a printed list of rooms."), (33, "Look around in our big hall. 404 not found. Ask the desk clerk upstairs for a printed list of rooms."), (32, "The form said 404 not found. I walked there and every neighbour of the whole street is against this tower.")]
     rows += [(40 + i, "The tower is too tall and we are against it, plonk.") for i in range(6)]
+    rows += [(50 + i, f"The posted card had lorem ipsum on it where we wanted the hour of the tower hearing {i}.") for i in range(5)]
+    rows += [(60, "Posted card hour wanted hearing posted card hour wanted hearing."), *((70 + i, "The hour of the tower on it, where we had the card.") for i in range(40))]
     got = {r.doc_id: r.residue for r in residue.find_residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert {i for i, x in got.items() if x == "filler"} == {0, 1, 2, 10}
     assert {i for i, x in got.items() if x == "error_page"} == {20, 21, 22, 23, 30, 31}
@@ -266,3 +268,12 @@ def test_long_error_pages_and_notices_are_labelled():
     notice = "Please enable JavaScript to view this page. " + "Menu Search Home Hearings Contact Site map\n" * 100
     letter = "The page said 404 not found. " + "I walked the whole street and every neighbour is against the tower. " * 40
     assert [residue.label_of(t) for t in (trace, notice, letter)] == [("error_page", True), ("script_notice", True), (None, False)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["HTTP Error 503", "http status code 404", "502 Bad Gateway", "504 gateway time-out", "410 Gone", "Service is currently unavailable", "Server Error in '/x' Application", "database error", "Invalid viewstate", "your session has timed out",
+     "Access is denied", "connection timedout", "the file you requested cannot be found", "Unhandled Exception", "Página no encontrada", "enable JavaScript", "Activar scripts", "java script must be enabled", "noscript", "unsupported browser", "scripting is blocked", "Scripts are turned off", "Cookies and scripting must be allowed"],
+)
+def test_every_sign_has_its_hint(text):
+    assert residue.signs_in(text.lower()) and residue.label_of(text)[0] in ("error_page", "script_notice")
