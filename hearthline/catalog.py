@@ -653,7 +653,7 @@ def pages_manifest(spark, d):
 
 # ------------------------------------------------------------------ identity and models
 
-KEYED = "trim(regexp_replace(regexp_replace(lower(regexp_replace(trim(name_clean), '^([A-Z][a-z]+)([A-Z][a-z].*)$', '\\1 \\2')), '[^a-z\\s''-]', '', 'g'), '\\s+', ' ', 'g'))"
+KEYED = "trim(regexp_replace(regexp_replace(lower(regexp_replace(trim(name_clean), '^([A-Z][a-z]+)([A-Z][a-z])', '\\1 \\2')), '[^a-z\\s''-]', '', 'g'), '\\s+', ' ', 'g'))"
 
 
 @query(
