@@ -141,6 +141,9 @@ def test_nearest_in_time_against_brute_force(spark):
         if hits:
             want[i] = min(hits)[1]
     assert got == want
+    big = 2**53 + 1
+    one = nearest_time.nearest_in_time(spark.createDataFrame([("a", "k", 5)], "id string, entity string, day int"), spark.createDataFrame([(big, "k", 7), (big - 1, "k", 30)], "id bigint, entity string, day int"))
+    assert [tuple(r) for r in one.collect()] == [("a", big)]
     assert nearest_time.nearest_in_time(L.limit(0), R).count() == 0 and nearest_time.nearest_in_time(L, R.limit(0)).count() == 0
 
 
