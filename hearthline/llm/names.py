@@ -14,7 +14,8 @@ project and link outright; among several partners a spelling keeps to the best a
 shares the rarest rewriting (fewest spellings of the project have it).
 
 Kin are kept apart: two first names that are both common as first names are different people, however alike they look,
-unless one is short for the other. Spellings that meet on no project are never compared.
+unless one is short for the other. A first name one typing error away from another that is ERROR_RATIO times as common
+counts as that error, not as a name, however often a large corpus repeats it. Spellings that meet on no project are never compared.
 
 Variants of a name meet at the best attested spelling among their links (the hub), so two different typing errors of
 one name are linked through it.
@@ -30,6 +31,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ from hearthline.session import written
 RARITY = 1.0
 #: A word is read as a first name before another if it is one so often, and so many times more often.
 FIRST_LEAST, FIRST_RATIO = 4, 5
+#: A first name is itself a typing error if another, one error away, is so many times more common.
+ERROR_RATIO = 30
 
 HONORIFIC = re.compile(r"^(?:mr|mrs|ms|miss|mx|dr|prof|rev|hon|sir|madam|supervisor|commissioner)\b\.?\s*", re.I)
 SUFFIX = re.compile(r",?\s+(?:jr|sr|ii|iii|iv|esq|phd|md|aia)\.?$", re.I)
@@ -101,23 +105,42 @@ def _typo(a: str, b: str) -> int:
     return damerau(a, b, 2)
 
 
+def turned(name: str, p: tuple[str, str, str]) -> tuple[str, str, str] | None:
+    """A spelling of two words the other way round; ``p`` is how it reads as it stands."""
+    if "," in name or len(p[0]) == 1:
+        return None
+    back = " ".join(reversed(plain(name).split()))
+    return person(back) if len(back.split()) == 2 else None
+
+
 class Firsts:
-    """What is known about first names: short forms, and how common each is."""
+    """What is known about the first names of some rows: short forms, and how common each is in the whole corpus.
 
-    def __init__(self, nicknames: list[tuple[str, str]], counts: dict[str, int]):
-        self.formals: dict[str, set[str]] = {}
-        for nick, formal in [tuple(x.split()) for x in SHORT.split(";") if x.strip()] + [(plain(n), plain(f)) for f, n in nicknames if f and n]:
-            self.formals.setdefault(nick, set()).add(formal)
-        self.counts = counts
+    The count of a typing error is 0; its worth is the count of the name it was meant for.
+    """
 
-    def read(self, name: str | None) -> tuple[str, str, str] | None:
+    def __init__(self, formals: dict[str, set[str]], counts: dict[str, int], worth: dict[str, int]):
+        self.formals = formals
+        self.counts = counts
+        self.worth = worth
+
+    @classmethod
+    def of(cls, pdf: pd.DataFrame, *ends: str) -> Firsts:
+        """From the columns first, n, worth, formals and ns of a batch, with each of the endings."""
+        out = cls({}, {}, {})
+        for e in ends:
+            for first, n, worth, formals, ns in zip(*(pdf[f"{c}{e}"] for c in ("first", "n", "worth", "formals", "ns"))):
+                if first not in out.formals:
+                    out.formals[first] = set(formals)
+                    out.counts.update(zip(formals, ns))
+                    out.counts[first], out.worth[first] = n, worth
+        return out
+
+    def read(self, name: str) -> tuple[str, str, str] | None:
         """``person``, the other way round where only the last word is a first name."""
         p = person(name)
-        if p is None or "," in name or len(p[0]) == 1:
-            return p
-        turned = " ".join(reversed(plain(name).split()))
-        q = person(turned) if len(turned.split()) == 2 else None
-        if q and self.counts.get(q[0], 0) >= max(FIRST_LEAST, FIRST_RATIO * self.counts.get(p[0], 0)):
+        q = turned(name, p) if p else None
+        if q and self.worth.get(q[0], 0) >= max(FIRST_LEAST, FIRST_RATIO * self.worth.get(p[0], 0)):
             return q
         return p
 
@@ -222,52 +245,82 @@ def organisation(name: str | None) -> tuple[str, str] | None:
 def link_persons(people: DataFrame, nicknames: DataFrame) -> DataFrame:
     """(name_a, name_b) from ``people`` (project, name): spellings of one person that meet on a project.
 
-    ``nicknames`` (formal, nick) is a small fixed table; of first names only the counts of those with a share of at
-    least 1 in 20,000 spellings travel to the workers, at most 20,000 entries whatever the corpus.
+    First names are counted over all spellings, however rare, typing errors as 0; the counts and the formal names of short forms (those of
+    ``nicknames`` (formal, nick) and of SHORT) are joined to the spellings, so nothing travels to all workers.
     """
     met = written(people.dropna().where(F.trim("name") != "").distinct(), "p5-met")
-    spellings = met.groupBy("name").agg(F.count(F.lit(1)).alias("prints"))
-    pairs_of_nicks = [(r["formal"], r["nick"]) for r in nicknames.select("formal", "nick").dropna().distinct().limit(20_001).collect()]
-    if len(pairs_of_nicks) > 20_000:
-        raise ValueError("the nicknames table is meant to be small")
 
     def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = pd.Series([p[0] for n in pdf["name"] if (p := person(n)) and len(p[0]) > 1], dtype=object).value_counts()
-            yield pd.DataFrame({"first": found.index.astype(object), "n": found.to_numpy("int64")})
+            rows = []
+            for n, prints in zip(pdf["name"], pdf["prints"]):
+                if p := person(n):
+                    q = turned(n, p)
+                    rows.append((n, prints, p[0], q[0] if q else p[0]))
+            yield pd.DataFrame(rows, columns=["name", "prints", "first", "other"])
+
+    spellings = met.groupBy("name").agg(F.count(F.lit(1)).alias("prints"))
+    spellings = written(spellings.mapInPandas(firsts, "name string, prints bigint, first string, other string"), "p5-spellings")
+    tally = written(spellings.where(F.length("first") > 1).groupBy("first").agg(F.count(F.lit(1)).alias("n")), "p5-tally")
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.loc[np.array([damerau(a, b, 2) <= 1 for a, b in zip(pdf["first"], pdf["of"])], dtype=bool), ["first", "most"]]
 
-    tally = spellings.mapInPandas(firsts, "first string, n bigint").groupBy("first").agg(F.sum("n").alias("n"))
-    total = tally.agg(F.sum("n")).collect()[0][0] or 0
-    counts = {r["first"]: r["n"] for r in tally.where(F.col("n") >= max(1, total / 20_000)).collect()}
-    known = Firsts(pairs_of_nicks, counts)
+    cut = F.expr("array_distinct(concat(array(first), transform(sequence(1, length(first)), i -> concat(substr(first, 1, i - 1), substr(first, i + 1)))))")
+    less = tally.where(F.length("first") > 2).select("first", "n", F.explode(cut).alias("form"))
+    beside = less.join(less.select("form", F.col("first").alias("of"), F.col("n").alias("most")), "form").where(F.col("most") >= ERROR_RATIO * F.col("n"))
+    errors = beside.select("first", "of", "most").distinct().mapInPandas(near, "first string, most bigint").groupBy("first").agg(F.max("most").alias("most"))
+    tally = tally.join(errors, "first", "left").select("first", F.when(F.col("most").isNull(), F.col("n")).otherwise(0).alias("n"), F.coalesce("most", "n").alias("worth"))
 
-    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lowered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"name": pdf["name"], "forms": [person_forms(known.read(n), known.formals) for n in pdf["name"]]})
+            yield pd.DataFrame({"first": pdf["nick"].map(plain), "formal": pdf["formal"].map(plain)})
+
+    nicks = nicknames.select("nick", "formal").dropna().where("nick <> '' AND formal <> ''").mapInPandas(lowered, "first string, formal string")
+    short = met.sparkSession.createDataFrame([tuple(x.split()) for x in SHORT.split(";") if x.strip()], "first string, formal string")
+    formals = nicks.unionByName(short).distinct().join(tally.select(F.col("first").alias("formal"), "n"), "formal", "left")
+    formals = formals.groupBy("first").agg(F.collect_list(F.struct("formal", F.coalesce("n", F.lit(0)).alias("n"))).alias("f"))
+    facts = written(tally.join(formals, "first", "full").select("first", "n", "worth", F.col("f.formal").alias("formals"), F.col("f.n").alias("ns")), "p5-firsts")
 
-    rewritten = spellings.select("name").mapInPandas(forms, "name string, forms array<string>")
+    def known(e: str) -> DataFrame:
+        return facts.select(*[F.col(c).alias(f"{c}{e}") for c in facts.columns])
+
+    def filled(e: str) -> list:
+        return [*[F.coalesce(f"{c}{e}", F.lit(0)).alias(f"{c}{e}") for c in ("n", "worth")], F.coalesce(f"formals{e}", F.array().cast("array<string>")).alias(f"formals{e}"), F.coalesce(f"ns{e}", F.array().cast("array<bigint>")).alias(f"ns{e}")]
+
+    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            firsts = Firsts.of(pdf, "_p", "_q")
+            read = [firsts.read(n) for n in pdf["name"]]
+            first, middle, last = ([p[i] for p in read] for i in range(3))
+            yield pd.DataFrame({"name": pdf["name"], "prints": pdf["prints"], "first": first, "middle": middle, "last": last, "forms": [person_forms(p, firsts.formals) for p in read]})
+
+    told = spellings.withColumnsRenamed({"first": "first_p", "other": "first_q"}).join(known("_p"), "first_p", "left").join(known("_q"), "first_q", "left")
+    told = told.select("name", "prints", "first_p", *filled("_p"), "first_q", *filled("_q"))
+    spellings = written(told.mapInPandas(forms, "name string, prints bigint, first string, middle string, last string, forms array<string>"), "p5-read")
+    rewritten = spellings.select("name", "forms")
     rows = met.join(rewritten, "name").select(F.xxhash64("project").alias("p"), F.xxhash64("name").alias("s"), F.explode("forms").alias("form"))
     rows = rows.select(F.xxhash64("p", "form").alias("key"), "p", "s")
     held = rows.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")  # a rewriting of one spelling links nothing
     rows = written(rows.join(held, "key"), "p5-forms")
     pairs = pairs_within(rows.select("key", "p", "held", "s"), ["key", "p", "held"], "s")
     pairs = pairs.groupBy("p", F.col("s_a").alias("x"), F.col("s_b").alias("y")).agg(F.min("held").alias("held"))
-    by_hash = spellings.select(F.xxhash64("name").alias("s"), "name", "prints")
+    by_hash = spellings.join(facts, "first", "left").select(F.xxhash64("name").alias("s"), "name", "prints", "first", "middle", "last", *filled(""))
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keep, weak_x, weak_y = [], [], []
-            for a, b in zip(pdf["name_x"], pdf["name_y"]):
-                p, q = known.read(a), known.read(b)
-                keep.append(known.same(p, q))
-                weak_x.append(len(p[0]) == 1)
-                weak_y.append(len(q[0]) == 1)
-            yield pdf.assign(weak_x=weak_x, weak_y=weak_y)[keep]
+            firsts = Firsts.of(pdf, "_x", "_y")
+            x, y = (list(zip(pdf[f"first{e}"], pdf[f"middle{e}"], pdf[f"last{e}"])) for e in ("_x", "_y"))
+            keep = np.array([firsts.same(p, q) for p, q in zip(x, y)], dtype=bool)
+            out = pdf.assign(weak_x=pdf["first_x"].str.len() == 1, weak_y=pdf["first_y"].str.len() == 1)
+            yield out.loc[keep, ["p", "held", "name_x", "prints_x", "name_y", "prints_y", "weak_x", "weak_y"]]
 
     schema = "p bigint, held bigint, name_x string, prints_x bigint, name_y string, prints_y bigint, weak_x boolean, weak_y boolean"
-    links = pairs.join(by_hash.select(F.col("s").alias("x"), F.col("name").alias("name_x"), F.col("prints").alias("prints_x")), "x")
-    links = links.join(by_hash.select(F.col("s").alias("y"), F.col("name").alias("name_y"), F.col("prints").alias("prints_y")), "y")
-    links = links.select("p", "held", "name_x", "prints_x", "name_y", "prints_y").mapInPandas(verified, schema)
+    links = pairs
+    for side in "xy":
+        links = links.join(by_hash.select(F.col("s").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in by_hash.columns if c != "s"]), side)
+    links = links.drop("x", "y").mapInPandas(verified, schema)
     sides = [F.struct("p", "held", F.col(f"name_{u}").alias("a"), F.col(f"name_{v}").alias("b"), F.col(f"prints_{v}").alias("n"), F.col(f"weak_{u}").alias("weak"), F.col(f"weak_{v}").alias("weak_b")) for u, v in ("xy", "yx")]
     both = written(links.select(F.explode(F.array(*sides)).alias("l")).select("l.*"), "p5-links")
     # the score of an initial: persons of the project that share it; spellings that meet at one hub are one person

@@ -212,6 +212,23 @@ def test_initials_are_scored_by_the_persons_that_share_them(spark):
     assert one == {tuple(sorted(x)) for x in combinations([n for _, n in rows[:3]], 2)} and two == set()
 
 
+def test_kin_stay_apart_however_many_other_spellings_there_are(spark):
+    nick = spark.createDataFrame([("Robert", "Bob")], "formal string, nick string")
+    kin = [("p0", "Darlen Kirlund"), ("p0", "Darlon Kirlund")] + [(f"q{i}", f"{n} Ash{i}") for i in range(4) for n in ("Darlen", "Darlon")]
+    few = spark.createDataFrame(kin, "project string, name string")
+    rest = spark.range(120_000).select(F.concat(F.lit("r"), "id").alias("project"), F.concat(F.lit("Bo "), F.lower(F.conv("id", 10, 36))).alias("name"))
+    one, two = ({(r.name_a, r.name_b) for r in names.link_persons(df, nick).collect()} for df in (few, few.unionByName(rest)))
+    assert one == two == set()
+
+
+def test_typing_errors_stay_errors_where_they_recur(spark):
+    nick = spark.createDataFrame([("Robert", "Bob")], "formal string, nick string")
+    rows = [("p0", "Mehhmet Kirlund"), ("p0", "Mehmmet Kirlund"), ("p1", "Oga Kirlund"), ("p1", "Olga Kirlund"), ("p2", "Olgga Kirlund"), ("p2", "Kirlund Olga")]
+    rows += [(f"q{n}{i}", f"{n} Ash{i}") for n, k in (("Mehmet", 200), ("Olga", 200), ("Mehhmet", 5), ("Mehmmet", 5), ("Oga", 5), ("Kirlund", 5)) for i in range(k)]
+    got = {(r.name_a, r.name_b) for r in names.link_persons(spark.createDataFrame(rows, "project string, name string"), nick).collect()}
+    assert got == {("Mehhmet Kirlund", "Mehmmet Kirlund"), ("Oga Kirlund", "Olga Kirlund"), ("Kirlund Olga", "Olgga Kirlund")}
+
+
 def test_chains_of_organisations_end_at_one_body(spark):
     kind = "Neighbors Association"
     rows = [(f"{n} {kind}",) for n, k in (("Abcdefgh", 9), ("Abcdefghij", 7), ("Abcdefghijkl", 5), ("Abcdefghijklmn", 3), ("Abcdefghijklmnop", 1)) for _ in range(k)]
