@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 #: Items that one task ranks, about, and salts at least.
 SALT_ITEMS, SALTS = 250_000, 64
+#: Rounds of ``solve``, and after how many of them a plan is tried.
+ROUNDS, TRIED = 1000, 50
 
 
 def _price(sizes: np.ndarray, counts: np.ndarray, weights: np.ndarray, capacity: int) -> np.ndarray:
@@ -63,35 +65,51 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None, e
 
     The covering program by multiplicative weights: each round takes the filling that is worth most at the current
     prices, as often as covers one of its lengths fully, and lowers the price of a length by what was covered of it.
-    More rounds are made over few lengths, where each is cheap.
+    The rounds are the same whatever the histogram; they end early only when a plan needs no more containers than the
+    least there can be, by volume or by the prices (no container holds more than the best filling is worth).
     """
     left = {s: n for s, n in histogram.items() if 0 < s <= capacity and n > 0}
+    if not left:
+        return []
+    sizes = np.array(sorted(left), dtype=np.int64)
+    counts = np.array([left[int(s)] for s in sizes], dtype=np.int64)
+    prices = sizes / capacity
+    columns: dict[tuple[int, ...], float] = {}
+    least, best, fewest = -(-int(sizes @ counts) // capacity), [], None
+    rounds = rounds or ROUNDS
+    for done in range(1, rounds + 1):
+        prices = prices / prices.max()
+        used = _price(sizes, counts, prices, capacity)
+        least = max(least, int(np.ceil(float(prices @ counts) / float(prices @ used) - 1e-6)))
+        share = used / counts
+        most = share.max()
+        columns[tuple(used)] = columns.get(tuple(used), 0.0) + 1 / most
+        prices = prices * np.exp(-eta * share / most)
+        if done % TRIED == 0 or done == rounds:
+            plan = _rounded(columns, sizes, counts, capacity)
+            if fewest is None or sum(times for times, _ in plan) < fewest:
+                best, fewest = plan, sum(times for times, _ in plan)
+            if fewest <= least:
+                break
+    return best
+
+
+def _rounded(columns: dict[tuple[int, ...], float], sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """The plan of a mixture of fillings: scaled to the volume of the items, rounded down within what is left of each length, the rest packed largest first."""
     plan: list[tuple[int, dict[int, int]]] = []
-    if left:
-        sizes = np.array(sorted(left), dtype=np.int64)
-        counts = np.array([left[int(s)] for s in sizes], dtype=np.int64)
-        prices = sizes / capacity
-        columns: dict[tuple[int, ...], float] = {}
-        for _ in range(rounds or int(np.clip(100_000 // len(sizes), 100, 1000))):
-            used = _price(sizes, counts, prices / prices.max(), capacity)
-            share = used / counts
-            most = share.max()
-            columns[tuple(used)] = columns.get(tuple(used), 0.0) + 1 / most
-            prices = prices * np.exp(-eta * share / most)
-        # the mixture scaled to the volume of the items, then rounded down within what is left of each length
-        names = list(columns)
-        matrix = np.array(names, dtype=np.int64).T
-        mass = np.array([columns[n] for n in names], dtype=float)
-        mass *= float(sizes @ counts) / float(sizes @ (matrix @ mass))
-        remaining = counts.copy()
-        for k in np.argsort(-mass):
-            column = matrix[:, k]
-            most = int((remaining[column > 0] // column[column > 0]).min())
-            times = min(int(np.floor(mass[k])), most)
-            if times > 0:
-                plan.append((times, {int(sizes[j]): int(column[j]) for j in np.flatnonzero(column)}))
-                remaining -= times * column
-        left = {int(s): int(n) for s, n in zip(sizes, remaining) if n}
+    names = list(columns)
+    matrix = np.array(names, dtype=np.int64).T
+    mass = np.array([columns[n] for n in names], dtype=float)
+    mass *= float(sizes @ counts) / float(sizes @ (matrix @ mass))
+    remaining = counts.copy()
+    for k in np.argsort(-mass, kind="stable"):
+        column = matrix[:, k]
+        most = int((remaining[column > 0] // column[column > 0]).min())
+        times = min(int(np.floor(mass[k])), most)
+        if times > 0:
+            plan.append((times, {int(sizes[j]): int(column[j]) for j in np.flatnonzero(column)}))
+            remaining -= times * column
+    left = {int(s): int(n) for s, n in zip(sizes, remaining) if n}
     # the rest: repeatedly fill one container largest first (best fit over the histogram), as often as the counts allow
     while left:
         room, filling = capacity, {}
@@ -130,7 +148,8 @@ def fill_containers(items: DataFrame, capacity: int = 2048, id_col: str = "doc_i
         F.coalesce(size, F.lit(0)).alias("_n"),
     ).select("_id", "piece", F.least(F.lit(capacity), F.col("_n") - F.col("piece") * capacity).cast("int").alias("size"))
     salts = max(SALTS, items.count() // SALT_ITEMS)
-    pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64("_id", "piece"), F.lit(salts)).cast("int"))
+    # ranks follow the hash and salts are ranges of it, so their number doesn't change who comes where
+    pieces = pieces.withColumn("_h", F.xxhash64("_id", "piece")).withColumn("_salt", F.shiftright((F.shiftright("_h", 32) + F.lit(2**31)) * F.lit(salts).cast("bigint"), 32).cast("int"))
     counts = pieces.groupBy("size", "_salt").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}  # at most capacity + 1 rows
     table = ranges(solve(histogram, capacity))
@@ -138,7 +157,7 @@ def fill_containers(items: DataFrame, capacity: int = 2048, id_col: str = "doc_i
         table.append((0, 0, histogram[0], 0, histogram[0]))
     plan = np.array(sorted(table), dtype=np.int64).reshape(-1, 5)
     shift = counts.withColumn("before", F.sum("n").over(Window.partitionBy("size").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)))
-    ranked = pieces.withColumn("_r", F.row_number().over(Window.partitionBy("size", "_salt").orderBy("_id", "piece")) - 1)
+    ranked = pieces.withColumn("_r", F.row_number().over(Window.partitionBy("size", "_salt").orderBy("_h", "_id", "piece")) - 1)
     ranked = ranked.join(shift.select("size", "_salt", F.coalesce("before", F.lit(0)).alias("_before")), ["size", "_salt"])
     ranked = ranked.select(F.col("_id").alias(id_col), "piece", "size", (F.col("_r") + F.col("_before")).alias("container"))
     return ranked.mapInArrow(_placed(plan), ranked.schema)

@@ -80,6 +80,25 @@ def test_containers(spark):
     assert packing.fill_containers(df.limit(0)).count() == 0
 
 
+def test_many_lengths_are_filled_as_well_as_few():
+    rnd = random.Random(3)
+    h = {}
+    for _ in range(3000):
+        s = min(512, int(rnd.lognormvariate(5, 1)) + 1)
+        h[s] = h.get(s, 0) + 1
+    assert len(h) > 400 and check_plan(h, 512) == -(-sum(s * k for s, k in h.items()) // 512)
+    assert check_plan({682: 1000, 683: 1000, 684: 1000}, 2048) == 1125
+
+
+def test_containers_do_not_depend_on_how_ranks_are_counted(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 7 * 100).cast("int").alias("size"))
+    got = []
+    for salts in (64, 5):
+        monkeypatch.setattr(packing, "SALTS", salts)
+        got.append({(r.doc_id, r.piece): r.container for r in packing.fill_containers(df).collect()})
+    assert len(got[0]) == 3000 and got[0] == got[1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("0123456789", min_size=1, max_size=16), st.sampled_from(["phone", "identity"]))
 def test_feistel_is_a_permutation_of_its_format(digits, tweak):
